@@ -155,6 +155,34 @@ def _between() -> str:
     )
 
 
+def _scan() -> str:
+    """The mart scan, check by check."""
+    parts = []
+    for table, (checks, keys) in contracts.SCAN.items():
+        source = _table(table)
+        for c in checks:
+            col = c.column
+            if c.kind == "row_count":
+                seen, passed = "count(*)", _bounds(c.low, c.high)
+            elif c.kind == "not_null":
+                seen, passed = f"count(*) FILTER (WHERE {col} IS NULL)", "observed = 0"
+            elif c.kind == "accepted_values":
+                listed = ", ".join(repr(v) for v in c.values)
+                seen, passed = f"count(*) FILTER (WHERE {col} NOT IN ({listed}))", "observed = 0"
+            elif c.kind == "min":
+                seen, passed = f"min({col})", _bounds(c.low, None)
+            else:
+                seen = f"date_diff('second', max({col}), {AS_OF}) / CAST(86400.0 AS DOUBLE)"
+                passed = f"observed < {c.high}"
+            parts.append(_check(table, c.kind, col, seen, passed, source))
+        parts += [_unique(table, "unique", [k]) for k in keys]
+    return (
+        f"SELECT table_name, check_name, column_name, {fixed('observed', 2)} AS observed, passed FROM ("
+        + " UNION ALL ".join(parts)
+        + ")"
+    )
+
+
 def _signals() -> str:
     pick = "SELECT status, end_ts FROM audit_pipeline_runs WHERE {} ORDER BY end_ts DESC NULLS LAST, run_id DESC LIMIT 1"
     lag = f"date_diff('second', max(end_ts), {RUNS_AS_OF})"
@@ -226,6 +254,12 @@ UNION ALL SELECT 'email', CAST(CAST(event_ts AS TIMESTAMP) AS DATE), count(*) FR
     "funnel_steps_long": "SELECT * FROM steps_long",
     "fct_funnel_steps": "SELECT * FROM channel_funnel",
     "fct_funnel_steps_long": "SELECT * FROM channel_funnel_long",
+    "stream_sessions": """
+SELECT ga_client_id, min(event_ts) AS session_started_at, max(event_ts) + INTERVAL 30 MINUTE AS session_closed_at, count(*) AS event_count,
+ max(CASE WHEN event_name = 'purchase' THEN 1 ELSE 0 END) AS is_purchase_session
+FROM (SELECT *, sum(s) OVER (PARTITION BY ga_client_id ORDER BY event_ts ROWS UNBOUNDED PRECEDING) AS n
+ FROM (SELECT *, CASE WHEN event_ts < lag(event_ts) OVER (PARTITION BY ga_client_id ORDER BY event_ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS s FROM stg_web))
+GROUP BY ga_client_id, n HAVING max(event_ts) + INTERVAL 30 MINUTE <= (SELECT max(event_ts) - INTERVAL 30 MINUTE FROM stg_web)""",
     # touchpoints
     "all_touches": "SELECT * FROM touches",
     "conversions": "SELECT * FROM convs",
@@ -352,6 +386,7 @@ FROM (SELECT *, greatest(start_ts, {RUNS_AS_OF} - INTERVAL 1 DAY) AS s, greatest
         + ")"
         for t, c, d in contracts.FRESHNESS
     ),
+    "quality_scan": _scan(),
     "check_funnel_monotonic": """SELECT * FROM channel_funnel WHERE users_pdp > users_visited OR users_add_to_cart > users_pdp
  OR users_checkout > users_add_to_cart OR users_purchased > users_checkout""",
     "check_graph_orphans": "SELECT raw_id, unified_user_id FROM graph WHERE raw_id IS NULL OR unified_user_id IS NULL",

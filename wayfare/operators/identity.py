@@ -30,6 +30,26 @@ def _granted(df: DataFrame) -> DataFrame:
     return df.where(F.col("consent_status") == GRANTED)
 
 
+def _web_rules(web: DataFrame, allowed: DataFrame | None) -> DataFrame:
+    """The cookie itself and, once logged in, its customer: two rules from one scan."""
+    login = F.col("ga_user_id")
+    if allowed is not None:
+        ids = allowed.select(
+            F.col("shopify_customer_id").cast("string").alias("ga_user_id"),
+            F.lit(True).alias("_allowed"),
+        )
+        web = web.join(ids, "ga_user_id", "left")
+        login = F.when(F.col("_allowed"), login)
+    cookie = node_id(WEB_COOKIE, F.col("ga_client_id"))
+    ends = F.array(
+        F.struct(cookie.alias("id_b"), F.lit("self").alias("match_type")),
+        F.struct(
+            node_id(CUSTOMER, login).alias("id_b"), F.lit("logged_in_user_id").alias("match_type")
+        ),
+    )
+    return web.select(cookie.alias("id_a"), F.explode(ends).alias("e")).select("id_a", "e.*")
+
+
 def identity_edges(
     web: DataFrame,
     pixel: DataFrame,
@@ -45,22 +65,12 @@ def identity_edges(
     since a rule always points from one kind of id to another.
     """
     hashed = node_id(EMAIL_HASH, F.col("email_hash"))
-    cookie = node_id(WEB_COOKIE, F.col("ga_client_id"))
     buyer = node_id(CUSTOMER, F.col("shopify_customer_id"))
-
-    logins = _granted(web).where(F.col("ga_user_id").isNotNull())
-    if strict_consent:
-        allowed = _granted(customers).select(
-            F.col("shopify_customer_id").cast("string").alias("ga_user_id")
-        )
-        logins = logins.join(allowed, "ga_user_id", "left_semi")
-
     rules = [
         _rule(_granted(customers), buyer, hashed, "email_hash"),
         _rule(_granted(pixel), node_id(PIXEL_COOKIE, F.col("fbp")), hashed, "email_hash"),
         _rule(_granted(email), node_id(SUBSCRIBER, F.col("subscriber_id")), hashed, "email_hash"),
-        _rule(logins, cookie, node_id(CUSTOMER, F.col("ga_user_id")), "logged_in_user_id"),
-        _rule(_granted(web), cookie, cookie, "self"),
+        _web_rules(_granted(web), _granted(customers) if strict_consent else None),
         # Every buyer is at least a node of its own, whatever the consent: the
         # grant governs linking, not the existence of a pseudonymous id.
         _rule(orders, buyer, buyer, "self"),
@@ -145,6 +155,9 @@ def identity_candidates(pixel: DataFrame) -> DataFrame:
 
 def people(graph: DataFrame, source: str, as_name: str) -> DataFrame:
     """Lookup from one kind of identifier to the person."""
-    return graph.where(F.col("raw_source") == source).select(
-        F.col("raw_value").alias(as_name), "unified_user_id"
+    known = (
+        (F.col("raw_source") == source)
+        & F.col("raw_value").isNotNull()
+        & F.col("unified_user_id").isNotNull()
     )
+    return graph.where(known).select(F.col("raw_value").alias(as_name), "unified_user_id")

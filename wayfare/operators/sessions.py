@@ -7,7 +7,7 @@ minute share a session whatever their number: sessions are numbered once per
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.functions.timeutil import minute_number, seconds_between
@@ -15,21 +15,33 @@ from wayfare.operators.identity import people
 from wayfare.params import FUNNEL_COUNTS, FUNNEL_STEPS, WEB_COOKIE
 
 
+# Slot of events without a time: one trailing session per person.
+_UNTIMED = 9999 * 366 * 1440
+
+
 def events_with_user(web: DataFrame, graph: DataFrame) -> DataFrame:
     return web.join(people(graph, WEB_COOKIE, "ga_client_id"), "ga_client_id", "left")
 
 
+def _slot() -> Column:
+    return F.coalesce(minute_number(F.col("event_ts")), F.lit(_UNTIMED))
+
+
 def _session_lookup(web: DataFrame, graph: DataFrame, timeout: int, known_only: bool) -> DataFrame:
     """(cookie, minute) -> person, session number, gap, and the minute's first event."""
     by_cookie = (
-        web.select("ga_client_id", "event_ts", "event_id", minute_number(F.col("event_ts")).alias("slot"))
+        web.select("ga_client_id", "event_ts", "event_id", _slot().alias("slot"))
         .groupBy("ga_client_id", "slot")
         .agg(F.min(F.struct("event_ts", "event_id")).alias("opening"))
     )
     cookies = people(graph, WEB_COOKIE, "ga_client_id")
-    owned = by_cookie.join(cookies, "ga_client_id", "inner" if known_only else "left").withColumn(
-        "owner", F.coalesce("unified_user_id", "ga_client_id")
-    )
+    person = F.col("unified_user_id")
+    if known_only:
+        owned = by_cookie.join(cookies, "ga_client_id").withColumn("owner", person)
+    else:
+        owned = by_cookie.join(cookies, "ga_client_id", "left").withColumn(
+            "owner", F.coalesce(person, F.col("ga_client_id"))
+        )
 
     in_order = Window.partitionBy("owner").orderBy("slot")
     gap = F.col("slot") - F.lag("slot").over(in_order)
@@ -52,7 +64,7 @@ def _session_lookup(web: DataFrame, graph: DataFrame, timeout: int, known_only:
     )
     return owned.join(
         numbered,
-        F.col("owner").eqNullSafe(F.col("n_owner")) & (F.col("slot") == F.col("n_slot")),
+        _same("owner", "n_owner", known_only) & (F.col("slot") == F.col("n_slot")),
     ).select(
         F.col("ga_client_id").alias("l_cookie"),
         F.col("slot").alias("l_slot"),
@@ -64,12 +76,16 @@ def _session_lookup(web: DataFrame, graph: DataFrame, timeout: int, known_only:
     )
 
 
+def _same(a: str, b: str, never_null: bool) -> Column:
+    return F.col(a) == F.col(b) if never_null else F.col(a).eqNullSafe(F.col(b))
+
+
 def _with_lookup(web: DataFrame, graph: DataFrame, timeout: int, known_only: bool) -> DataFrame:
     """Events with their session: the wide rows are shuffled once, by (cookie, minute)."""
     found = _session_lookup(web, graph, timeout, known_only)
-    return web.withColumn("slot", minute_number(F.col("event_ts"))).join(
+    return web.withColumn("slot", _slot()).join(
         found,
-        F.col("ga_client_id").eqNullSafe(F.col("l_cookie")) & (F.col("slot") == F.col("l_slot")),
+        _same("ga_client_id", "l_cookie", known_only) & (F.col("slot") == F.col("l_slot")),
     )
 
 
@@ -111,12 +127,16 @@ def sessions_stitched(
     )
 
 
-def _reached(event: str) -> F.Column:
+def _reached(event: str) -> Column:
     return F.max(F.when(F.col("event_name") == event, 1).otherwise(0))
 
 
-def session_facts(stitched: DataFrame) -> DataFrame:
-    """One row per session, from one aggregation over known people's events."""
+def session_summary(stitched: DataFrame) -> DataFrame:
+    """One row per session of a known person: its measures and its funnel flags.
+
+    The session facts, the per-session flags and the channel funnel are all
+    projections of this one aggregation.
+    """
     return (
         stitched.where(F.col("unified_user_id").isNotNull())
         .groupBy("unified_user_id", "stitched_session_id")
@@ -129,47 +149,36 @@ def session_facts(stitched: DataFrame) -> DataFrame:
             F.max("channel_key").alias("acquisition_channel"),
             F.max("device_category").alias("device_category"),
             F.max("country").alias("country"),
-            _reached("purchase").alias("is_purchase_session"),
-        )
-        .select(
-            "unified_user_id",
-            "stitched_session_id",
-            "session_started_at",
-            "session_ended_at",
-            seconds_between(F.col("session_started_at"), F.col("session_ended_at")).alias(
-                "session_duration_sec"
-            ),
-            "event_count",
-            "unique_pages",
-            "acquisition_channel",
-            "device_category",
-            "country",
-            "is_purchase_session",
+            *[_reached(event).alias(step) for step, event in FUNNEL_STEPS],
         )
     )
 
 
-def funnel_steps(stitched: DataFrame) -> DataFrame:
-    return (
-        stitched.where(F.col("unified_user_id").isNotNull())
-        .groupBy("unified_user_id", "stitched_session_id")
-        .agg(*[_reached(event).alias(step) for step, event in FUNNEL_STEPS])
+def session_facts(summary: DataFrame) -> DataFrame:
+    return summary.select(
+        "unified_user_id",
+        "stitched_session_id",
+        "session_started_at",
+        "session_ended_at",
+        seconds_between(F.col("session_started_at"), F.col("session_ended_at")).alias(
+            "session_duration_sec"
+        ),
+        "event_count",
+        "unique_pages",
+        "acquisition_channel",
+        "device_category",
+        "country",
+        F.col("step_5_purchase").alias("is_purchase_session"),
     )
 
 
-def session_funnel(stitched: DataFrame) -> DataFrame:
-    """Funnel flags with the session's channel: what the channel funnel is built from."""
-    return (
-        stitched.where(F.col("unified_user_id").isNotNull())
-        .groupBy("unified_user_id", "stitched_session_id")
-        .agg(
-            F.max("channel_key").alias("channel_key"),
-            *[_reached(event).alias(step) for step, event in FUNNEL_STEPS],
-        )
+def funnel_steps(summary: DataFrame) -> DataFrame:
+    return summary.select(
+        "unified_user_id", "stitched_session_id", *[step for step, _ in FUNNEL_STEPS]
     )
 
 
-def channel_funnel(sessions: DataFrame) -> DataFrame:
+def channel_funnel(summary: DataFrame) -> DataFrame:
     """People reaching each step, per acquisition channel.
 
     Flags are reduced to one row per (channel, person) and then summed: two
@@ -177,8 +186,8 @@ def channel_funnel(sessions: DataFrame) -> DataFrame:
     """
     steps = [step for step, _ in FUNNEL_STEPS]
     per_person = (
-        sessions.where(F.col("channel_key").isNotNull())
-        .groupBy("channel_key", "unified_user_id")
+        summary.where(F.col("acquisition_channel").isNotNull())
+        .groupBy(F.col("acquisition_channel").alias("channel_key"), "unified_user_id")
         .agg(*[F.max(s).alias(s) for s in steps])
     )
     reached = [F.lit(1)] + [F.col(s) for s in steps[1:]]

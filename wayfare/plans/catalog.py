@@ -18,6 +18,7 @@ from wayfare.sources import bronze as bronze_io
 from wayfare.sources import landed
 from wayfare.sources.published import publish, read_published
 from wayfare.sources.testbed import load_bronze
+from wayfare.streaming.sessions import append_closed, cookie_sessions
 
 # The clock and report windows of the registered queries.
 PARAMS = Params(as_of=datetime(2024, 3, 1))
@@ -27,6 +28,7 @@ LATE_WINDOW = (date(2024, 1, 10), date(2024, 2, 10))
 LOOKBACK = (date(2024, 1, 31), 14)
 PURGE_AS_OF = date(2026, 3, 16)
 LONG_TIMEOUT = 720
+STREAMED = ["event_id", "event_name", "event_ts", "ga_client_id"]
 
 _OPEN: dict[tuple[str, str], Warehouse] = {}
 
@@ -190,16 +192,14 @@ def pii_minimise(w: Warehouse) -> DataFrame:
 # -- sessions, touchpoints, attribution ----------------------------------------
 
 
-def _known_sessions(w: Warehouse, timeout: int) -> DataFrame:
-    return sessions.sessions_stitched(
-        w.build("stg_ga4_events"), w.table("identity_graph"), timeout, known_only=True
+def _long_sessions(w: Warehouse) -> DataFrame:
+    return sessions.session_summary(
+        sessions.sessions_stitched(
+            w.build("stg_ga4_events"), w.table("identity_graph"), LONG_TIMEOUT, known_only=True
+        )
     )
 
 
-def all_touches(w: Warehouse) -> DataFrame:
-    return w.build("all_touches")
-
-
 def _one_model(model: str) -> Query:
     def query(w: Warehouse) -> DataFrame:
         every = w.build("touchpoints_attribution").where(F.col("attribution_model") == model)
@@ -208,6 +208,16 @@ def _one_model(model: str) -> Query:
     return query
 
 
+def stream_sessions(w: Warehouse) -> DataFrame:
+    """Closed cookie sessions of the delivered web events, taken up as a stream."""
+    root = new_run_dir(w.spark, "stream")
+    staged = w.build("stg_ga4_events").select(*STREAMED)
+    staged.write.parquet(f"{root}/landed")
+    arriving = w.spark.readStream.schema(staged.schema).parquet(f"{root}/landed")
+    append_closed(cookie_sessions(arriving), f"{root}/sessions", f"{root}/progress")
+    return w.spark.read.parquet(f"{root}/sessions")
+
+
 # -- erasure -------------------------------------------------------------------
 
 
@@ -279,16 +289,15 @@ QUERIES: dict[str, Query] = {
     ),
     "session_gaps": _model("session_gaps"),
     "sessions_stitched": _model("sessions_stitched"),
-    "fct_sessions": _model("fct_sessions"),
-    "fct_sessions_long": lambda w: sessions.session_facts(_known_sessions(w, LONG_TIMEOUT)),
-    "funnel_steps": _model("funnel_steps"),
-    "funnel_steps_long": lambda w: sessions.funnel_steps(_known_sessions(w, LONG_TIMEOUT)),
-    "fct_funnel_steps": _model("fct_funnel_steps"),
-    "fct_funnel_steps_long": lambda w: sessions.channel_funnel(
-        sessions.session_funnel(_known_sessions(w, LONG_TIMEOUT))
-    ),
+    "fct_sessions": lambda w: sessions.session_facts(w.build("session_summary")),
+    "fct_sessions_long": lambda w: sessions.session_facts(_long_sessions(w)),
+    "funnel_steps": lambda w: sessions.funnel_steps(w.build("session_summary")),
+    "funnel_steps_long": lambda w: sessions.funnel_steps(_long_sessions(w)),
+    "fct_funnel_steps": lambda w: sessions.channel_funnel(w.build("session_summary")),
+    "fct_funnel_steps_long": lambda w: sessions.channel_funnel(_long_sessions(w)),
+    "stream_sessions": stream_sessions,
     # touchpoints
-    "all_touches": all_touches,
+    "all_touches": _model("all_touches"),
     "conversions": _model("conversions"),
     "touchpoints_enriched": _model("touchpoints_enriched"),
     "fct_touchpoints": _model("fct_touchpoints"),
@@ -374,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "check_row_count": contracts.check_row_count,
     "check_min": lambda w: rounded(contracts.check_min(w), 2),
     "check_freshness": lambda w: rounded(contracts.check_freshness(w), 6),
+    "quality_scan": lambda w: rounded(contracts.quality_scan(w), 2),
     "check_funnel_monotonic": lambda w: quality.funnel_violations(w.table("fct_funnel_steps")),
     "check_graph_orphans": lambda w: quality.graph_orphans(w.table("identity_graph")),
     "check_weights_sum_to_one": lambda w: rounded(

@@ -116,6 +116,49 @@ MINIMUM = [
 # Greatest age, in days, of the newest row.
 FRESHNESS = [("fct_conversions", "conversion_ts", 32.0)]
 
+# The mart scan, per table: row-level checks and unique keys.
+SCAN = {
+    "dim_users": (
+        [
+            Check("row_count", low=1),
+            Check("not_null", "consent_status"),
+            Check("accepted_values", "consent_status", values=(GRANTED, ANONYMOUS)),
+        ],
+        ["unified_user_id"],
+    ),
+    "dim_channels": ([Check("row_count", low=5, high=50)], ["channel_key"]),
+    "fct_conversions": (
+        [
+            Check("row_count", low=1),
+            Check("not_null", "conversion_id"),
+            Check("not_null", "unified_user_id"),
+            Check("min", "conversion_value_eur", low=0.0),
+            Check("freshness", "conversion_ts", high=32.0),
+        ],
+        [],
+    ),
+    "fct_touchpoints": (
+        [
+            Check("row_count", low=1),
+            Check("not_null", "touchpoint_id"),
+            Check("not_null", "channel_key"),
+        ],
+        [],
+    ),
+    "fct_sessions": (
+        [
+            Check("row_count", low=1),
+            Check("not_null", "stitched_session_id"),
+            Check("min", "session_duration_sec", low=0.0),
+        ],
+        [],
+    ),
+    "fct_funnel_steps": (
+        [Check("row_count", low=5, high=50), Check("min", "users_visited", low=1.0)],
+        [],
+    ),
+}
+
 # Models that stay views: checked where they are computed, not stored.
 _VIEWS = ("stg_", "sessions_stitched", "touchpoints_attribution", "funnel_steps")
 
@@ -191,3 +234,12 @@ def check_relationships(w: Warehouse) -> DataFrame:
             for t, c, p, k in RELATIONSHIPS
         ],
     )
+
+
+def quality_scan(w: Warehouse) -> DataFrame:
+    """The whole mart scan: every table is read once for all its row-level checks."""
+    parts = []
+    for table, (checks, keys) in SCAN.items():
+        parts.append(quality.run_checks(_source(w, table), table, checks, w.params.as_of))
+        parts += [quality.check_unique(_source(w, table), table, [k]) for k in keys]
+    return reduce(DataFrame.unionByName, parts)

@@ -25,7 +25,7 @@ def forget(w: Warehouse, requests: DataFrame, root: str) -> dict[str, DataFrame]
     """
     gone = publish(privacy.resolve(requests, w.table("dim_users")), root, "_forgotten")
     out = {name: publish(privacy.erase(w.table(name), gone), root, name) for name in PERSONAL}
-    left = privacy.erase(w.build("session_funnel"), gone)
+    left = privacy.erase(w.table("session_summary"), gone)
     out["fct_funnel_steps"] = publish(channel_funnel(left), root, "fct_funnel_steps")
     out["forgotten_users"] = publish(
         privacy.tombstones(gone, w.params.as_of), root, "forgotten_users"

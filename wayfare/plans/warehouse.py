@@ -2,9 +2,9 @@
 
 `build(name)` is the lazy plan of a model over bronze and the stored tables;
 `table(name)` is the same model written once under this warehouse's folder and
-read back. The identity edges and graph and the touch axis are always taken
-from storage, since several models read each of them; everything else is
-inlined, and Catalyst prunes what a query does not use.
+read back. Edges, graph, touches, conversions, the touch axis and the session
+summary are taken from storage, since several models read each of them;
+everything else is inlined, and Catalyst prunes what a query does not use.
 """
 
 from __future__ import annotations
@@ -51,9 +51,9 @@ class Warehouse:
             self._stored[name] = publish(self.build(name), self.root, name)
         return self._stored[name]
 
-    def publish_marts(self) -> None:
-        for name in MARTS:
-            self.table(name)
+    def publish_marts(self) -> dict[str, DataFrame]:
+        """Build everything."""
+        return {name: self.table(name) for name in MARTS}
 
 
 def _date_bounds(w: Warehouse) -> DataFrame:
@@ -96,10 +96,10 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.params.session_timeout_minutes,
         known_only=True,
     ),
-    "fct_sessions": lambda w: sessions.session_facts(w.build("sessions_known")),
-    "funnel_steps": lambda w: sessions.funnel_steps(w.build("sessions_known")),
-    "session_funnel": lambda w: sessions.session_funnel(w.build("sessions_known")),
-    "fct_funnel_steps": lambda w: sessions.channel_funnel(w.build("session_funnel")),
+    "session_summary": lambda w: sessions.session_summary(w.build("sessions_known")),
+    "fct_sessions": lambda w: sessions.session_facts(w.table("session_summary")),
+    "funnel_steps": lambda w: sessions.funnel_steps(w.table("session_summary")),
+    "fct_funnel_steps": lambda w: sessions.channel_funnel(w.table("session_summary")),
     "all_touches": lambda w: touchpoints.all_touches(
         w.build("stg_ga4_events"),
         w.build("stg_meta_pixel_events"),
@@ -110,11 +110,11 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.build("stg_shopify_orders"), w.table("identity_graph")
     ),
     "touchpoints_enriched": lambda w: touchpoints.touchpoints_enriched(
-        w.build("all_touches"), w.build("conversions"), w.params.attribution_window_days
+        w.table("all_touches"), w.table("conversions"), w.params.attribution_window_days
     ),
     "fct_touchpoints": lambda w: touchpoints.touchpoint_facts(w.build("touchpoints_enriched")),
     "touch_axis": lambda w: attribution.touch_axis(
-        w.build("all_touches"), w.build("conversions"), w.params.attribution_window_days
+        w.table("all_touches"), w.table("conversions"), w.params.attribution_window_days
     ),
     "attribution_ranked": lambda w: attribution.attribution_ranked(
         w.table("touch_axis"), w.params.attribution_window_days
@@ -123,8 +123,8 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.build("attribution_ranked")
     ),
     "attribution_time_decay": lambda w: attribution.time_decay(
-        w.build("all_touches"),
-        w.build("conversions"),
+        w.table("all_touches"),
+        w.table("conversions"),
         w.params.attribution_window_days,
         w.params.half_life_days,
     ),
@@ -140,7 +140,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.table("identity_graph"), staging.customer_versions(w.bronze["shopify_customers"])
     ),
     "facts_asof_user": lambda w: dimensions.facts_asof_user(
-        w.build("conversions"), w.build("dim_users_scd2")
+        w.table("conversions"), w.build("dim_users_scd2")
     ),
     "dim_channels": lambda w: dimensions.dim_channels(w.spark),
     "dim_dates": lambda w: dimensions.dim_dates(_date_bounds(w)),

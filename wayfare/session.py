@@ -25,6 +25,10 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # A hot key is split even where that costs one more shuffle.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # A full build generates more classes than the default cache holds.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.parquet.compression.codec", "snappy")
     )
     if master:

@@ -6,8 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.session import store
 
-# Tables whose readers nearly always name a value of this column.
-PARTITIONED = {"fct_touchpoints": "touchpoint_date", "identity_graph": "raw_source", "touch_axis": "mark"}
+# Folder columns: what readers of a table nearly always name a value of.
+PARTITIONED = {
+    "identity_graph": "raw_source",
+    "touch_axis": "mark",
+    "fct_touchpoints": "touchpoint_date",
+}
+# Tables with many folder values: rows are gathered by value before writing, or
+# each task would leave a small file in every folder. Adaptive execution sizes
+# the gathered partitions and splits a value that is too large for one file.
+GATHERED = {"fct_touchpoints"}
 
 
 def publish(df: DataFrame, root: str, name: str) -> DataFrame:
@@ -15,7 +23,9 @@ def publish(df: DataFrame, root: str, name: str) -> DataFrame:
     column = PARTITIONED.get(name)
     if column is None:
         return store(df, f"{root}/{name}")
-    return store(df.hint("rebalance", column), f"{root}/{name}", [column])
+    if name in GATHERED:
+        df = df.hint("rebalance", column)
+    return store(df, f"{root}/{name}", [column])
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
