@@ -182,7 +182,7 @@ def source_freshness(runs: DataFrame, as_of: datetime) -> DataFrame:
     return listed.join(last, "source", "left").select(
         "source",
         F.when(F.col("last").isNull(), "jamais reçu").otherwise(_ago(minutes)).alias("label"),
-        F.coalesce(minutes, F.lit(99_999)).cast("long").alias("minutes"),
+        F.when(F.col("last").isNull(), F.lit(99_999)).otherwise(minutes).cast("long").alias("minutes"),
     )
 
 
