@@ -5,9 +5,13 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from wayfare.params import Params
+from wayfare.plans.warehouse import MODELLED, Warehouse
 from wayfare.session import shared_dir
-from wayfare.sources import bronze, landed
-from wayfare.sources.schemas import BRONZE
+from wayfare.sources import audit, bronze, landed
+from wayfare.sources.published import read_published
+from wayfare.sources.schemas import BRONZE, LAYOUT
+from wayfare.sources.testbed import load_bronze
 from wayfare.streaming.ingest import ingest_events, landed_stream
 from wayfare.streaming.sessions import append_closed, cookie_sessions
 
@@ -143,3 +147,33 @@ def test_stream_sessions_equal_the_batch_window(spark, tmp_path):
     batch = {tuple(r) for r in cookie_sessions(web).collect()}
     assert got == {r for r in batch if (last - r[2]).total_seconds() >= 1800}
     assert got
+
+
+def test_warehouse_over_delivered_folders_equals_the_direct_one(spark, tmp_path):
+    direct = load_bronze(spark, "/root/testdata/sf0.001")
+    root = f"{tmp_path}/bronze"
+    for name in MODELLED:
+        source, table = LAYOUT[name]
+        # Two deliveries: the folder holds their union.
+        half = F.pmod(F.xxhash64(direct[name].columns[0]), F.lit(2))
+        for i, day in enumerate((date(2024, 3, 1), date(2024, 3, 2))):
+            bronze.write_partitioned(direct[name].where(half == i), root, source, table, day)
+    params = Params(as_of=datetime(2024, 3, 5))
+    delivered = Warehouse.over_folder(spark, root, f"{tmp_path}/gold", params)
+    marts = delivered.publish_marts()
+    want = Warehouse(spark, direct, params)
+    for name in ("dim_users", "fct_sessions", "fct_touchpoints", "fct_conversions", "fct_funnel_steps"):
+        same = marts[name].exceptAll(want.table(name)).isEmpty()
+        assert same and marts[name].count() == want.table(name).count(), name
+        assert read_published(spark, f"{tmp_path}/gold", name).count() == marts[name].count()
+
+
+def test_audit_rows_are_appended(spark, tmp_path):
+    runs = spark.createDataFrame(
+        [("r1", "ga4", "bronze", "dev", datetime(2024, 1, 1), "success")],
+        "run_id string, pipeline string, step string, environment string, start_ts timestamp_ntz, status string",
+    )
+    audit.append_runs(runs, str(tmp_path))
+    audit.append_runs(runs.withColumn("run_id", F.lit("r2")), str(tmp_path))
+    rows = audit.read_runs(spark, str(tmp_path)).collect()
+    assert sorted(r.run_id for r in rows) == ["r1", "r2"] and rows[0].extra is None

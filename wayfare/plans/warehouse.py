@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wayfare.operators import attribution, dimensions, identity, sessions, staging, touchpoints
 from wayfare.params import Params
 from wayfare.session import new_run_dir
+from wayfare.sources.bronze import read_bronze
 from wayfare.sources.published import publish
 
 MARTS = [
@@ -29,6 +30,16 @@ MARTS = [
 ]
 
 
+# Bronze tables the models read.
+MODELLED = [
+    "ga4_events",
+    "meta_pixel_events",
+    "shopify_customers",
+    "shopify_orders",
+    "email_events",
+]
+
+
 class Warehouse:
     def __init__(
         self,
@@ -43,6 +54,14 @@ class Warehouse:
         self.root = root or new_run_dir(spark, "warehouse")
         self._stored: dict[str, DataFrame] = {}
 
+    @classmethod
+    def over_folder(
+        cls, spark: SparkSession, bronze_root: str, root: str, params: Params = Params()
+    ) -> Warehouse:
+        """A warehouse over delivered bronze folders, publishing under `root`."""
+        bronze = {name: read_bronze(spark, bronze_root, name).drop("dt") for name in MODELLED}
+        return cls(spark, bronze, params, root)
+
     def build(self, name: str) -> DataFrame:
         return MODELS[name](self)
 
