@@ -32,3 +32,21 @@ def ts():
     from datetime import datetime
 
     return lambda text: datetime.fromisoformat(text)
+
+
+@pytest.fixture()
+def tiny_skew_limits(spark):
+    """Adaptive execution as on a cluster, with limits a test's kilobytes can reach."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)

@@ -178,3 +178,19 @@ def test_orders_without_touches_stay_with_no_channel(spark):
         key=str,
     )
     assert all(r.reconciles for r in attribution.reconcile(facts).collect())
+
+
+def executed(df):
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_a_hot_person_is_split_in_the_interval_join(spark, tiny_skew_limits):
+    touches, convs = skewed(n=6000)
+    t, c = frames(spark, touches, convs)
+    # Spread over input files, as map outputs are what the engine splits by.
+    pairs = touchpoints.touchpoints_enriched(t.repartition(12), c, 30)
+    rows, plan = executed(pairs)
+    assert "skew=true" in plan
+    want = brute_pairs(touches, convs, 30)
+    assert len(rows) == sum(len(h) for h in want.values())

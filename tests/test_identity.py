@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.operators import identity, staging
-from wayfare.operators.components import connected_components
+from wayfare.operators.components import _large_star, _small_star, connected_components
 from wayfare.sources.schemas import BRONZE
 
 
@@ -158,3 +158,16 @@ def test_bronze_to_edges_reads_only_what_the_rules_need(spark, tmp_path):
     plan = identity._web_rules(web, None)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ga_client_id:string,ga_user_id:string,consent_status:string>" in plan
     assert "PushedFilters: [IsNotNull(consent_status), Not(EqualTo(consent_status,withdrawn))]" in plan
+
+
+@pytest.mark.parametrize("step", [_large_star, _small_star])
+def test_a_hub_is_split_in_the_star_joins(spark, tiny_skew_limits, step):
+    rest = [(f"z{i:05d}", f"r{i:05d}") for i in range(6000)]
+    if step is _large_star:
+        hub = [(f"x{i:05d}", "hub") for i in range(6000)]
+    else:
+        hub = [("zzz", f"x{i:05d}") for i in range(6000)]
+    stars = step(spark.createDataFrame(hub + rest, "node string, parent string").repartition(12))
+    stars.collect()
+    plan = stars._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "skew=true" in plan

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.functions.skew import splittable
 from wayfare.session import delete_path, new_run_dir, store
 
 
@@ -27,7 +28,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     ).select("e.*")
     smallest = ends.groupBy("id").agg(F.min("seen").alias("least"))
     return (
-        edges.join(smallest, edges["parent"] == smallest["id"])
+        edges.join(smallest, splittable(F.col("parent"), F.col("id")))
         .select("node", F.col("least").alias("parent"))
         .distinct()
     )
@@ -35,8 +36,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang a node and its smaller neighbours on the smallest of them."""
-    smallest = edges.groupBy("node").agg(F.min("parent").alias("least"))
-    moved = edges.join(smallest, "node").select(
+    smallest = edges.groupBy(F.col("node").alias("id")).agg(F.min("parent").alias("least"))
+    moved = edges.join(smallest, splittable(F.col("node"), F.col("id"))).select(
         F.explode(
             F.array(
                 F.struct(F.col("node").alias("node"), F.col("least").alias("parent")),

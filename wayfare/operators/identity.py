@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.keys import node_id
+from wayfare.functions.skew import splittable
 from wayfare.operators.components import connected_components
 from wayfare.params import (
     CUSTOMER,
@@ -118,9 +119,11 @@ def identity_kpass(edges: DataFrame, passes: int) -> DataFrame:
     links = edges.select("raw_id_src", "raw_id_dst").distinct()
     labels = links.groupBy("raw_id_src").agg(F.min("raw_id_dst").alias("label"))
     for _ in range(passes - 1):
-        seen = labels.select(F.col("raw_id_src").alias("raw_id_dst"), "label")
+        seen = labels.select(F.col("raw_id_src").alias("id"), "label")
         labels = (
-            links.join(seen, "raw_id_dst").groupBy("raw_id_src").agg(F.min("label").alias("label"))
+            links.join(seen, splittable(F.col("raw_id_dst"), F.col("id")))
+            .groupBy("raw_id_src")
+            .agg(F.min("label").alias("label"))
         )
     return labels.select(*person_columns(F.col("raw_id_src"), F.col("label")))
 

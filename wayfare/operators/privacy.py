@@ -26,7 +26,7 @@ def erase(df: DataFrame, forgotten: DataFrame) -> DataFrame:
     A plain anti-join: the engine broadcasts the list when it measures it to be
     small and shuffles otherwise.
     """
-    people = forgotten.select("unified_user_id").distinct()
+    people = forgotten.select("unified_user_id")
     return df.join(people, "unified_user_id", "left_anti").select(*df.columns)
 
 

@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.functions.skew import splittable
 from wayfare.params import RETENTION_MONTHS, UNSUBSCRIBED_MONTHS
 from wayfare.sources.schemas import BRONZE, LAYOUT
 
@@ -67,12 +68,12 @@ def retained_email(df: DataFrame, as_of: date) -> DataFrame:
     """E-mail events, less those of people whose last unsubscribe is over three years old."""
     left = (
         df.where((F.col("event_name") == "campaign.unsubscribed") & F.col("subscriber_id").isNotNull())
-        .groupBy("subscriber_id")
+        .groupBy(F.col("subscriber_id").alias("left_id"))
         .agg(F.max(F.col("event_ts").cast("timestamp_ntz").cast("date")).alias("left_on"))
         .where(F.col("left_on") < _kept_from(as_of, UNSUBSCRIBED_MONTHS))
-        .select("subscriber_id")
+        .select("left_id")
     )
-    return df.join(left, "subscriber_id", "left_anti").select(*df.columns)
+    return df.join(left, splittable(F.col("subscriber_id"), F.col("left_id")), "left_anti")
 
 
 def purge(spark: SparkSession, root: str, as_of: date) -> list[str]:
