@@ -230,7 +230,7 @@ UNION ALL SELECT 'email', CAST(CAST(event_ts AS TIMESTAMP) AS DATE), count(*) FR
     ),
     "stg_ga4_events": "SELECT * FROM stg_web",
     "channel_mapping": f"SELECT source, medium, count(*) AS events, {channel_case('medium', 'source')} AS channel_key FROM ga4_events GROUP BY 1, 2",
-    "stg_meta_pixel_events": "SELECT * FROM stg_pixel",
+    "stg_meta_pixel_events": "SELECT * REPLACE (array_to_string(content_ids, ',') AS content_ids) FROM stg_pixel",
     "stg_email_events": "SELECT * FROM stg_email",
     "stg_shopify_orders": "SELECT * FROM stg_orders",
     "stg_shopify_customers": "SELECT * FROM stg_customers",

@@ -87,3 +87,11 @@ def test_facts_meet_the_version_of_their_time(spark):
         "unknown": (None, None),
         "nobody": (None, None),
     }
+
+
+def test_channels_from_a_seed_file(spark, tmp_path):
+    built_in = dimensions.dim_channels(spark)
+    assert built_in.count() == 9
+    built_in.coalesce(1).write.option("header", True).csv(f"{tmp_path}/seed")
+    read = dimensions.dim_channels(spark, f"{tmp_path}/seed")
+    assert sorted(read.collect()) == sorted(built_in.collect())

@@ -76,7 +76,7 @@ def connected_components(pairs: DataFrame, max_rounds: int = 64) -> DataFrame:
     spark = pairs.sparkSession
     run = new_run_dir(spark, "components")
 
-    links = (
+    edges = (
         pairs.where(F.col("src") != F.col("dst"))
         .select(
             F.greatest("src", "dst").alias("node"),
@@ -84,14 +84,14 @@ def connected_components(pairs: DataFrame, max_rounds: int = 64) -> DataFrame:
         )
         .distinct()
     )
-    edges = store(links, f"{run}/round-0")
     rounds, settled = 0, False
     while not settled:
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         edges = store(_small_star(_large_star(edges)), f"{run}/round-{rounds}")
-        delete_path(spark, f"{run}/round-{rounds - 1}")
+        if rounds > 1:
+            delete_path(spark, f"{run}/round-{rounds - 1}")
         settled = _is_star_forest(edges)
 
     # Members, their roots and the ids that only ever met themselves; the

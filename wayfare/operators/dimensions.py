@@ -14,12 +14,17 @@ from wayfare.params import ANONYMOUS, CHANNELS, CUSTOMER, GRANTED
 OPEN_END = "9999-12-31"
 
 
-def dim_channels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        CHANNELS,
-        "channel_key string, source string, medium string, channel_display_name string, "
-        "channel_group string, is_paid boolean, conversion_multiplier double",
-    )
+_CHANNEL_SCHEMA = (
+    "channel_key string, source string, medium string, channel_display_name string, "
+    "channel_group string, is_paid boolean, conversion_multiplier double"
+)
+
+
+def dim_channels(spark: SparkSession, seed: str | None = None) -> DataFrame:
+    """The channel list: built in, or from a CSV file with a header line."""
+    if seed is None:
+        return spark.createDataFrame(CHANNELS, _CHANNEL_SCHEMA)
+    return spark.read.schema(_CHANNEL_SCHEMA).option("header", True).csv(seed)
 
 
 def dim_dates(bounds: DataFrame) -> DataFrame:

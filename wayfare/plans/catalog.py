@@ -272,7 +272,10 @@ QUERIES: dict[str, Query] = {
     "consent_filter": consent_filter,
     "stg_ga4_events": _model("stg_ga4_events"),
     "channel_mapping": channel_mapping,
-    "stg_meta_pixel_events": _model("stg_meta_pixel_events"),
+    # The list column as text, which every client compares alike.
+    "stg_meta_pixel_events": lambda w: w.build("stg_meta_pixel_events").withColumn(
+        "content_ids", F.concat_ws(",", "content_ids")
+    ),
     "stg_email_events": _model("stg_email_events"),
     "stg_shopify_orders": _model("stg_shopify_orders"),
     "stg_shopify_customers": _model("stg_shopify_customers"),

@@ -30,6 +30,11 @@ def build_session(
         # A full build generates more classes than the default cache holds.
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.parquet.compression.codec", "snappy")
+        # Streaming state on disk, so that it may outgrow an executor's heap.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if master:
         b = b.master(master)

@@ -165,9 +165,9 @@ BASE_TABLE = {
 
 def load_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Lazy bronze frames over the parquet files in `sf_dir`."""
+    frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(BASE_TABLE.values())}
     out = {}
     for name, text in bronze_sql("spark").items():
         base = BASE_TABLE[name]
-        frame = spark.read.parquet(f"{sf_dir}/{base}.parquet")
-        out[name] = spark.sql(text.replace(f"FROM {base}", "FROM {base}"), base=frame)
+        out[name] = spark.sql(text.replace(f"FROM {base}", "FROM {base}"), base=frames[base])
     return out
