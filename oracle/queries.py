@@ -404,3 +404,21 @@ FROM credits GROUP BY 1, 2 HAVING abs(sum(weight) - 1.0) > 0.001""",
     "forget_funnel": funnel("sess", "steps", "f.unified_user_id NOT IN (SELECT unified_user_id FROM gone)"),
     "forget_tombstones": f"""SELECT unified_user_id, email_hash, {AS_OF} AS forgotten_at, 'req_' || substr(unified_user_id, 1, 8) AS request_id FROM gone""",
 }
+
+# Columns handed out as text: days, and the open end of a validity.
+AS_TEXT = {
+    "bronze_roundtrip": ["dt"],
+    "bronze_lookback": ["dt"],
+    "retention_purge": ["dt"],
+    "fct_touchpoints": ["touchpoint_date"],
+    "fct_conversions": ["conversion_date"],
+    "dim_dates": ["date_day"],
+    "dim_users": ["valid_to"],
+    "dim_users_scd2": ["valid_to"],
+    "weekly_cohort": ["cohort_week"],
+    "weekly_cohort_dedup": ["cohort_week"],
+    "quality_trend_weekly": ["week"],
+}
+for _name, _columns in AS_TEXT.items():
+    _texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _columns)
+    QUERIES[_name] = f"SELECT * REPLACE ({_texts}) FROM ({QUERIES[_name]})"

@@ -48,6 +48,16 @@ def rounded(df: DataFrame, digits: int) -> DataFrame:
     )
 
 
+def portable(df: DataFrame) -> DataFrame:
+    """Days, and the open end of a validity, as text.
+
+    Client libraries disagree on both: a day is a date in one and a timestamp
+    in the other, and the year 9999 is beyond a nanosecond clock.
+    """
+    as_text = [c for c, t in df.dtypes if t == "date" or c == "valid_to"]
+    return df.withColumns({c: F.col(c).cast("string") for c in as_text})
+
+
 Query = Callable[[Warehouse], DataFrame]
 
 
@@ -402,6 +412,6 @@ QUERIES: dict[str, Query] = {
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(query: Query):
-        return lambda spark, sf_dir: query(warehouse(spark, sf_dir))
+        return lambda spark, sf_dir: portable(query(warehouse(spark, sf_dir)))
 
     return {name: bind(q) for name, q in QUERIES.items()}
