@@ -27,10 +27,6 @@ from wayfare.params import CHANNEL_KEYS, MODELS
 _COUNTS = [f"n_{c}" for c in CHANNEL_KEYS]
 
 
-def _total(columns: list[str]) -> Column:
-    return reduce(add, [F.col(c) for c in columns])
-
-
 def touch_axis(touches: DataFrame, convs: DataFrame, window_days: int) -> DataFrame:
     """Touches and conversion markers with running touch counts per channel."""
     opens = day_start(F.date_sub(F.col("conversion_ts").cast("date"), window_days))
@@ -58,7 +54,7 @@ def touch_axis(touches: DataFrame, convs: DataFrame, window_days: int) -> DataFr
     axis = points.unionByName(markers, allowMissingColumns=True)
     # 'hi' and 'lo' sort before 'touch': a touch at the very instant of a
     # conversion is not before it, one at the opening midnight is inside.
-    return running_sums(
+    counted = running_sums(
         axis,
         key="unified_user_id",
         ts="axis_ts",
@@ -68,6 +64,13 @@ def touch_axis(touches: DataFrame, convs: DataFrame, window_days: int) -> DataFr
             for name, key in zip(_COUNTS, CHANNEL_KEYS)
         },
     )
+    # A touch needs its rank alone; the split by channel is kept for the markers.
+    is_marker = F.col("mark") != "touch"
+    return counted.select(
+        *axis.columns,
+        reduce(add, [F.col(c) for c in _COUNTS]).alias("touch_rank"),
+        *[F.when(is_marker, F.col(c)).alias(c) for c in _COUNTS],
+    )
 
 
 def ranked_touches(axis: DataFrame) -> DataFrame:
@@ -78,7 +81,7 @@ def ranked_touches(axis: DataFrame) -> DataFrame:
         F.col("axis_ts").alias("touchpoint_ts"),
         "source",
         "channel_key",
-        _total(_COUNTS).alias("touch_rank"),
+        "touch_rank",
     )
 
 
@@ -94,8 +97,8 @@ def conversion_spans(axis: DataFrame) -> DataFrame:
             "conversion_value_eur",
         )
         .agg(
-            F.sum(F.when(~is_hi, _total(_COUNTS)).otherwise(0)).alias("rank_before"),
-            F.sum(F.when(is_hi, _total(_COUNTS)).otherwise(0)).alias("rank_last"),
+            F.sum(F.when(~is_hi, F.col("touch_rank")).otherwise(0)).alias("rank_before"),
+            F.sum(F.when(is_hi, F.col("touch_rank")).otherwise(0)).alias("rank_last"),
             *[F.sum(F.when(is_hi, F.col(c)).otherwise(-F.col(c))).alias(c) for c in _COUNTS],
         )
         .withColumn("n_touches", F.col("rank_last") - F.col("rank_before"))
