@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,28 +44,18 @@ def build_session(
     return b.getOrCreate()
 
 
-_LOCAL_DIRS: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`, visible to every executor.
+    """The folder for written intermediates, visible to every executor.
 
-    Only a single-machine session may go without: it gets a scratch folder of
-    its own. On a cluster a missing setting is an error, because a folder one
-    machine holds is lost with that machine.
+    One rule for every master: `spark.checkpoint.dir`, else the context's
+    checkpoint folder, else a folder beside the warehouse's tables, which all
+    executors share as well.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    set_on_context = spark.sparkContext.getCheckpointDir()
-    if set_on_context:
-        return set_on_context
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="wayfare-")
-    return _LOCAL_DIRS[app]
+    return (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+    )
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
