@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -42,9 +43,16 @@ FRAME_DOCS = 256
 FRAME_IDS = 1 << 18
 LEVEL = 3
 # Words whose ids a Python worker remembers, and the longest of them.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 CACHE_CHARS = 64
 
+# The vocabulary's pattern for pieces.
+_PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+# White space but blank and line feed; ASCII marks.
+_ODD_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+_NO_MARKS = {c: None for c in range(33, 127) if not chr(c).isalpha()}
+
 # Fixed values of the seekable layout.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -56,27 +64,89 @@ _DOC = np.dtype([("has_id", "<u8"), ("doc_id", "<i8"), ("n", "<u8")])
 # -- tokens ------------------------------------------------------------------
 
 
+class _Known(dict):
+    """Ids by word; an unknown word is encoded when it is first asked for."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        self.encode = encode
+
+    def __missing__(self, w: str) -> bytes:
+        ids = self.encode(w)
+        if len(w) <= CACHE_CHARS:
+            self[w] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of whole texts, word by word.
 
     The vocabulary's pattern always starts a new piece at a blank between two
     characters that are not white space, so a text's ids are those of its words,
-    each with the blank before it. Words are looked up in a cache; the unknown
-    words of a batch go through the tokenizer as one line. Everything around
-    other white space than single blanks is encoded as one longer word.
+    each with the blank before it; a line feed between two such characters is a
+    piece of its own. Whatever stands around other white space is one longer
+    word. Words are looked up in a cache. Unknown words of letters, ASCII digits
+    and marks are split by the pattern and go straight to the tokenizer's
+    merges; any other word goes through the whole tokenizer.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.merges = self.tokenizer.model.tokenize
+        # How the vocabulary spells the 256 byte values.
+        self.spelling = {b: self._spelt(ByteLevel(add_prefix_space=False, use_regex=False), b) for b in range(256)}
         self.cache_words = cache_words
-        self.cache: dict[str, bytes] = {}
+        self.behind = _Known(lambda w: self.word(w, " "))
+        self.opening = _Known(lambda w: self.word(w, ""))
+        self.marks = _Known(self.pieces)
+        self.line_feed = self.whole("\n")
+
+    @staticmethod
+    def _spelt(level, byte: int) -> str:
+        if byte < 128:
+            return level.pre_tokenize_str(chr(byte))[0][0]
+        # A two-byte character has the byte in front (194 to 223) or behind; any other is spelt as itself.
+        for char in (bytes([byte, 128]), bytes([195, byte])):
+            try:
+                spelt = level.pre_tokenize_str(char.decode())[0][0]
+            except UnicodeDecodeError:
+                continue
+            return spelt[0 if char[0] == byte else 1]
+        return chr(byte)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def pieces(self, text: str) -> bytes:
+        """Ids of letters, ASCII digits and marks, split by the vocabulary's pattern."""
+        ids = []
+        for piece in _PATTERN.findall(text):
+            ids += [t.id for t in self.merges(piece.encode().decode("latin-1").translate(self.spelling))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def word(self, w: str, blank: str) -> bytes:
+        """Ids of a word with or without a blank before it."""
+        core = w.rstrip(_MARKS)
+        if core.isalpha():
+            if len(core) < len(w):
+                known = self.behind if blank else self.opening
+                return known[core] + self.marks[w[len(core) :]]
+            piece = (blank + w).encode().decode("latin-1").translate(self.spelling)
+            ids = [t.id for t in self.merges(piece)]
+            return struct.pack(f"<{len(ids)}I", *ids)
+        plain = w.translate(_NO_MARKS)
+        return self.pieces(blank + w) if not plain or plain.isalpha() else self.whole(blank + w)
+
+    @staticmethod
+    def even(text: str) -> bool:
+        """Whether all white space is single blanks and line feeds between other characters."""
+        if text[:1] in ("", " ", "\n") or text[-1] in " \n" or "  " in text or "\n\n" in text:
+            return False
+        return " \n" not in text and "\n " not in text and not any(c in text for c in _ODD_SPACE)
+
     @staticmethod
     def words(text: str) -> list[str]:
         """Parts of a text, each but the first with the blank before it left out.
@@ -85,8 +155,6 @@ class WordEncoder:
         own ends may; so every blank that was cut at stands between two others.
         """
         parts = text.split(" ")
-        if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
-            return parts
         starts = [0] + [
             i
             for i in range(1, len(parts))
@@ -94,37 +162,24 @@ class WordEncoder:
         ]
         return [" ".join(parts[a:b]) for a, b in zip(starts, [*starts[1:], len(parts)], strict=True)]
 
-    def learn(self, words: set[str]) -> None:
-        """Ids of words that follow a blank, the plain ones from one line of all of them."""
-        plain = sorted(w for w in words if not (w[0].isspace() or w[-1].isspace()))
-        for w in words.difference(plain):
-            self.cache[w] = self.whole(" " + w)
-        if not plain:
-            return
-        code = self.tokenizer.encode("x " + " ".join(plain), add_special_tokens=False)
-        ids = np.array(code.ids, "<u4")
-        # A word's ids start at the blank before it or behind that blank.
-        blanks = np.cumsum([1] + [len(w) + 1 for w in plain])
-        owner = np.searchsorted(blanks, [a for a, _ in code.offsets], side="right")
-        cuts = np.searchsorted(owner, np.arange(1, len(plain) + 2)).tolist()
-        for w, a, b in zip(plain, cuts, cuts[1:], strict=False):
-            self.cache[w] = ids[a:b].tobytes()
+    def encode(self, text: str) -> bytes:
+        if any(s in text for s in self.specials):
+            return self.whole(text)
+        behind, opening = self.behind.__getitem__, self.opening
+        if not self.even(text):
+            first, *rest = self.words(text)
+            return (self.whole(first) if first else b"") + b"".join(map(behind, rest))
+        lines = []
+        for line in text.split("\n"):
+            words = iter(line.split(" "))
+            lines.append(opening[next(words)] + b"".join(map(behind, words)))
+        return self.line_feed.join(lines)
 
     def encode_batch(self, batch: list[str]) -> list[bytes]:
-        cut = [None if any(s in t for s in self.specials) else self.words(t) for t in batch]
-        unknown = {w for words in cut if words for w in words[1:]}.difference(self.cache)
-        if unknown:
-            self.learn(unknown)
-        ids = self.cache.__getitem__
-        out = [
-            self.whole(text) if words is None else self.whole(words[0]) + b"".join(map(ids, words[1:]))
-            for text, words in zip(batch, cut, strict=True)
-        ]
-        for w in unknown:
-            if len(w) > CACHE_CHARS:
-                del self.cache[w]
-        if len(self.cache) > self.cache_words:
-            self.cache.clear()
+        out = [self.encode(t) if t else b"" for t in batch]
+        if len(self.behind) + len(self.opening) > self.cache_words:
+            self.behind.clear()
+            self.opening.clear()
         return out
 
 
