@@ -10,8 +10,9 @@ it, so every source converges.
 
 Rates become whole copies by systematic rounding along the sizes of a source:
 the k-th document gets the whole numbers that the running sum of rates passes.
-The error is then a difference of neighbouring sizes, and of `PHASES` offsets
-the one that comes nearest to the target is taken. Only aggregated cells are
+The error is then a difference of neighbouring sizes. Every other size belongs
+to a second running sum, and of `PHASES` offsets for either sum the pair that
+comes nearest to the target is taken. Only aggregated cells are
 summed along a source; documents of one cell are numbered in groups of
 `2^GROUP_BITS` consecutive ids.
 
@@ -32,7 +33,7 @@ from wayfare.session import new_run_dir, store
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
-PHASES = 64
+PHASES = 32
 TOLERANCE = 1e-7
 GROUP_BITS = 16
 ROUNDS = 200
@@ -163,22 +164,37 @@ def solve(
 
 
 def _plan(cells: DataFrame, solved: DataFrame, cap: float) -> DataFrame:
-    """Cells with their rate, the sum of rates before them, and their source's phase."""
-    rated = cells.join(solved, "key").withColumn("rate", _tilt(cap))
+    """Cells with their rate, the sum of rates before them, and the phase of their half."""
     # Cells, not documents: one row per source and distinct size.
-    along = Window.partitionBy("key").orderBy("size").rowsBetween(*_BEFORE)
-    rated = rated.withColumn("before", F.coalesce(F.sum(F.col("n") * F.col("rate")).over(along), F.lit(0.0)))
+    by_size = Window.partitionBy("key").orderBy("size")
+    along = Window.partitionBy("key", "half").orderBy("size").rowsBetween(*_BEFORE)
+    rated = (
+        cells.join(solved, "key")
+        .withColumn("rate", _tilt(cap))
+        .withColumn("half", F.pmod(F.row_number().over(by_size) - 1, F.lit(2)))
+        .withColumn("before", F.coalesce(F.sum(F.col("n") * F.col("rate")).over(along), F.lit(0.0)))
+    )
     offset = (F.col("phase") + 0.5) / PHASES
     given = F.floor(F.col("before") + F.col("n") * F.col("rate") + offset) - F.floor(F.col("before") + offset)
-    best = (
+    words = (
         rated.select("*", F.explode(F.sequence(F.lit(0), F.lit(PHASES - 1))).alias("phase"))
-        .groupBy("key", "phase")
-        .agg(F.abs(F.sum(F.col("size") * given) - F.max("target")).alias("miss"))
+        .groupBy("key", "half", "phase")
+        .agg(F.sum(F.col("size") * given).alias("words"), F.max("target").alias("target"))
+    )
+    first = words.where("half = 0").select("key", "target", F.col("words").alias("w0"), offset.alias("offset0"))
+    second = words.where("half = 1").select("key", F.col("words").alias("w1"), offset.alias("offset1"))
+    # Every pair of phases, so PHASES^2 rows a source.
+    miss = F.abs(F.col("w0") + F.coalesce("w1", F.lit(0)) - F.col("target")).alias("miss")
+    best = (
+        first.join(second, "key", "left")
         .groupBy("key")
-        .agg(F.min(F.struct("miss", "phase"))["phase"].alias("phase"))
-        .select("key", offset.alias("offset"))
+        .agg(F.min(F.struct(miss, "offset0", "offset1")).alias("best"))
+        .select("key", "best.offset0", "best.offset1")
+    )
+    chosen = F.when(F.col("half") == 0, F.col("offset0")).otherwise(F.col("offset1"))
+    return rated.join(best, "key").select(
+        "key", "size", "source_size", "target", "rate", "before", chosen.alias("offset")
     )
-    return rated.join(best, "key").select("key", "size", "source_size", "target", "rate", "before", "offset")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
