@@ -66,7 +66,7 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return loose.isEmpty()
 
 
-def connected_components(pairs: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_components(pairs: DataFrame) -> DataFrame:
     """`pairs(src, dst)`, in any direction, self-pairs allowed -> `(id, root)`.
 
     `root` is the smallest id of the component (binary string order). Every
@@ -87,8 +87,6 @@ def connected_components(pairs: DataFrame, max_rounds: int = 64) -> DataFrame:
     rounds, settled = 0, False
     while not settled:
         rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         edges = store(_small_star(_large_star(edges)), f"{run}/round-{rounds}")
         if rounds > 1:
             delete_path(spark, f"{run}/round-{rounds - 1}")
