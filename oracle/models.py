@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from wayfare.params import CHANNEL_RULES, CHANNELS, DEFAULT_CHANNEL, FUNNEL_COUNTS, FUNNEL_STEPS
 from wayfare.sources.testbed import bronze_sql
 
@@ -241,3 +243,20 @@ MODELS["requests"] = "SELECT DISTINCT email FROM shopify_orders WHERE financial_
 
 MODELS["gone"] = """
 SELECT DISTINCT u.unified_user_id, u.email_hash FROM requests r JOIN users u ON u.email_hash = sha256(lower(trim(r.email)))"""
+
+# The models after every order was delivered a second time, pending ones dearer by five.
+MODELS["stg_orders_re"] = """
+SELECT order_id, customer_id AS shopify_customer_id, sha256(lower(trim(email))) AS email_hash,
+ CAST(created_at AS TIMESTAMP) AS order_ts, CAST(total_price_eur AS DOUBLE) AS total_price_eur, currency,
+ financial_status, fulfillment_status, country, consent_status
+FROM (SELECT *, 1 AS delivery FROM shopify_orders UNION ALL
+ SELECT * REPLACE (total_price_eur + CASE WHEN financial_status = 'pending' THEN 5.0 ELSE 0.0 END AS total_price_eur), 2 FROM shopify_orders)
+WHERE consent_status <> 'withdrawn' QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY delivery DESC) = 1"""
+
+_AFTER_ORDERS = ["buyer_orders", "convs", "enriched", "ranked", "credits", "channel_counts", "pivoted", "conv_facts"]
+for _name in _AFTER_ORDERS:
+    MODELS[f"{_name}_re"] = re.sub(rf"\b(stg_orders|{'|'.join(_AFTER_ORDERS)})\b", r"\1_re", MODELS[_name])
+
+MODELS["gone_twice"] = """
+SELECT DISTINCT u.unified_user_id FROM users u JOIN shopify_orders o ON u.email_hash = sha256(lower(trim(o.email)))
+WHERE o.financial_status = 'refunded' OR o.country = 'DE'"""

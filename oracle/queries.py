@@ -196,12 +196,12 @@ UNION ALL SELECT 'orchestrator', CASE WHEN lag < 93600 THEN 'ok' WHEN lag < 1728
 FROM (SELECT {lag} AS lag FROM audit_pipeline_runs)
 UNION ALL SELECT 'build', CASE WHEN status = 'success' THEN 'ok' ELSE 'warn' END,
  'last run, ' || CASE WHEN m = 0 THEN 'à l''instant' ELSE 'il y a ' || m || ' min' END
-FROM (SELECT status, CAST(floor(date_diff('second', end_ts, {RUNS_AS_OF}) / 60.0) AS BIGINT) AS m FROM ({pick.format("pipeline = 'dbt'")}))
+FROM (SELECT status, CAST(floor(date_diff('microsecond', end_ts, {RUNS_AS_OF}) / 60000000.0) AS BIGINT) AS m FROM ({pick.format("pipeline = 'dbt'")}))
 UNION ALL SELECT 'quality', CASE WHEN total > 0 AND failed = 0 THEN 'ok' ELSE 'warn' END,
  CASE WHEN total = 0 THEN 'aucun scan récent' WHEN failed = 0 THEN total || ' checks OK' ELSE failed || ' check en alerte' END
 FROM (SELECT count(*) AS total, count(*) FILTER (WHERE status = 'failed') AS failed FROM audit_pipeline_runs
  WHERE pipeline = 'soda' AND {LAST_DAY})
-UNION ALL SELECT 'consent', CASE WHEN p >= 99 THEN 'ok' ELSE 'warn' END, CAST(round(p) AS INT) || '% propagé'
+UNION ALL SELECT 'consent', CASE WHEN p >= 99 THEN 'ok' ELSE 'warn' END, CAST(round_even(p, 0) AS INT) || '% propagé'
 FROM (SELECT count(consent_status) * 100.0 / count(*) AS p FROM users)"""
 
 
@@ -235,7 +235,7 @@ UNION ALL SELECT 'email', CAST(CAST(event_ts AS TIMESTAMP) AS DATE), count(*) FR
     "stg_shopify_orders": "SELECT * FROM stg_orders",
     "stg_shopify_customers": "SELECT * FROM stg_customers",
     "email_hash": "SELECT order_id, sha256(lower(trim(email))) AS email_hash FROM shopify_orders",
-    "pii_minimise": """SELECT customer_id, sha256('+32047' || customer_id) AS phone_hash,
+    "pii_minimise": """SELECT customer_id, sha256('+3247' || customer_id) AS phone_hash,
  '10.' || (customer_id % 200) || '.' || (customer_id % 50) || '.0' AS ip_prefix FROM shopify_customers""",
     # identity
     "identity_edges": "SELECT * FROM edges",
@@ -254,6 +254,7 @@ UNION ALL SELECT 'email', CAST(CAST(event_ts AS TIMESTAMP) AS DATE), count(*) FR
     "funnel_steps_long": "SELECT * FROM steps_long",
     "fct_funnel_steps": "SELECT * FROM channel_funnel",
     "fct_funnel_steps_long": "SELECT * FROM channel_funnel_long",
+    "stream_ingest": "SELECT *, CAST(event_ts AS DATE) AS dt FROM ga4_events",
     "stream_sessions": """
 SELECT ga_client_id, min(event_ts) AS session_started_at, max(event_ts) + INTERVAL 30 MINUTE AS session_closed_at, count(*) AS event_count,
  max(CASE WHEN event_name = 'purchase' THEN 1 ELSE 0 END) AS is_purchase_session
@@ -287,6 +288,16 @@ FROM (SELECT *, sum(w) OVER (PARTITION BY conversion_id) AS total FROM (SELECT *
  FROM (SELECT conversion_id, max(conversion_value_eur) AS v, sum(revenue_share_eur) AS r FROM credits WHERE attribution_model = '{m}' GROUP BY 1)"""
         for m in ATTRIBUTION_MODELS
     ),
+    "fct_conversions_redelivered": "SELECT conversion_id, conversion_ts, conversion_date, unified_user_id, country, "
+    + f"{fixed('conversion_value_eur', 6)} AS conversion_value_eur, channel_key, "
+    + ", ".join(f"{fixed(c, 6)} AS {c}" for c in CONV_COLS)
+    + " FROM conv_facts_re",
+    "attribution_reconcile_redelivered": " UNION ALL ".join(
+        f"""SELECT '{m}' AS attribution_model, {fixed('sum(r)', 2)} AS revenue, {fixed('sum(v)', 2)} AS attributed_value,
+ abs(sum(r) - sum(v)) < greatest(1.0, 0.001 * sum(v)) AS reconciles
+ FROM (SELECT conversion_id, max(conversion_value_eur) AS v, sum(revenue_share_eur) AS r FROM credits_re WHERE attribution_model = '{m}' GROUP BY 1)"""
+        for m in ATTRIBUTION_MODELS
+    ),
     # dimensions and history
     "dim_users": "SELECT * FROM users",
     "dim_channels": """SELECT c.*, u.web_events FROM dim_channels_m c LEFT JOIN
@@ -318,19 +329,19 @@ FROM (SELECT channel_key, sum(revenue_last_touch) AS l, sum(revenue_position_bas
     "top_metrics": _top(WINDOW),
     "top_metrics_filtered": _top(LATE, "'meta', 'mailchimp', 'email'"),
     "unification_per_source": f"""SELECT {label('source')} AS source, count(*) AS raw_profiles, count(DISTINCT unified_user_id) AS unified_profiles,
- round(CAST(count(DISTINCT unified_user_id) AS DOUBLE) / count(*) * 100.0, 1) AS match_rate_pct
+ round_even(CAST(count(DISTINCT unified_user_id) AS DOUBLE) / count(*) * 100.0, 1) AS match_rate_pct
 FROM touch_facts WHERE {days('touchpoint_ts', *WINDOW)} GROUP BY touch_facts.source""",
     "consent_registry": f"""SELECT {label('t.source')} AS source, CASE u.consent_status WHEN 'granted' THEN 'Consentement OK'
  WHEN 'anonymous' THEN 'Anonymisé' ELSE u.consent_status END AS status, count(*) AS records, max(touchpoint_ts) AS last_update
 FROM touch_facts t JOIN users u USING (unified_user_id) GROUP BY t.source, u.consent_status""",
-    "attribution_panel": f"""SELECT channel, {fixed('revenue', 2)} AS revenue, {fixed('round(revenue / sum(revenue) OVER () * 100)', 2)} AS share_pct
+    "attribution_panel": f"""SELECT channel, {fixed('revenue', 2)} AS revenue, {fixed('round_even(revenue / sum(revenue) OVER () * 100, 0)', 2)} AS share_pct
 FROM (SELECT coalesce(d.channel_display_name, c.channel_key) AS channel, sum(c.revenue_linear) AS revenue
  FROM conv_facts c LEFT JOIN dim_channels_m d USING (channel_key)
  WHERE c.channel_key IS NOT NULL AND {days('c.conversion_ts', *LATE)} GROUP BY 1 HAVING sum(c.revenue_linear) > 0
  ORDER BY revenue DESC, channel LIMIT 5)""",
     "gdpr_breakdown": """SELECT *, score_pct >= 99 AS compliant FROM (SELECT count(*) AS total,
  count(*) FILTER (WHERE consent_status = 'granted') AS consent_ok, count(*) FILTER (WHERE consent_status = 'anonymous') AS anonymous,
- count(email_hash) AS pseudonymised, round(count(*) FILTER (WHERE consent_status = 'granted') * CAST(100.0 AS DOUBLE) / count(*)) AS score_pct FROM users)""",
+ count(email_hash) AS pseudonymised, round_even(count(*) FILTER (WHERE consent_status = 'granted') * CAST(100.0 AS DOUBLE) / count(*), 0) AS score_pct FROM users)""",
     # operations
     "pipeline_health": f"""SELECT runs, {fixed('ok_pct', 4)} AS success_pct, {fixed('secs', 4)} AS avg_seconds, quality_alerts, last_run_ts,
  {fixed('consent', 4)} AS consent_pct, quality_alerts = 0 AND ok_pct >= 90 AS operational
@@ -346,12 +357,12 @@ FROM {RUNS} WHERE {days('start_ts', *WINDOW)} GROUP BY 1""",
     "system_signals": _signals(),
     "source_freshness": f"""SELECT source, CASE WHEN m IS NULL THEN 'jamais reçu' WHEN m = 0 THEN 'à l''instant' ELSE 'il y a ' || m || ' min' END AS label,
  coalesce(m, 99999) AS minutes
-FROM (SELECT v.source, CAST(greatest(0, floor(date_diff('second', max(coalesce(r.end_ts, r.start_ts)), {RUNS_AS_OF}) / 60.0)) AS BIGINT) AS m
+FROM (SELECT v.source, CAST(greatest(0, floor(date_diff('microsecond', max(coalesce(r.end_ts, r.start_ts)), {RUNS_AS_OF}) / 60000000.0)) AS BIGINT) AS m
  FROM (VALUES ('GA4', 'ga4'), ('Meta Ads', 'meta'), ('Shopify', 'shopify'), ('Mailchimp', 'mailchimp')) v(source, key)
  LEFT JOIN {RUNS} r ON lower(r.pipeline) = v.key AND r.status = 'success' GROUP BY 1)""",
     "quality_status": f"""SELECT count(*) FILTER (WHERE status = 'failed') AS failed, count(*) AS total FROM {RUNS} WHERE pipeline = 'soda' AND {LAST_DAY}""",
     "quality_alerts": f"""SELECT coalesce(step, 'check') AS check_name, coalesce(error, '') AS detail, start_ts AS ts,
- CAST(floor(date_diff('second', start_ts, {RUNS_AS_OF}) / 60.0) AS BIGINT) AS minutes
+ CAST(floor(date_diff('microsecond', start_ts, {RUNS_AS_OF}) / 60000000.0) AS BIGINT) AS minutes
 FROM {RUNS} WHERE pipeline = 'soda' AND status = 'failed' AND {LAST_DAY}""",
     "pipeline_timeline": f"""SELECT {label('pipeline')} AS source, step, upper(status) AS status, start_ts, coalesce(end_ts, start_ts) AS end_ts,
  {fixed(f"date_diff('second', {RUNS_AS_OF} - INTERVAL 1 DAY, s) / CAST(86400.0 AS DOUBLE) * CAST(100.0 AS DOUBLE)", 6)} AS offset_pct,
@@ -402,6 +413,18 @@ FROM credits GROUP BY 1, 2 HAVING abs(sum(weight) - 1.0) > 0.001""",
     + f""" UNION ALL SELECT 'fct_funnel_steps', (SELECT count(*) FROM channel_funnel), count(*)
  FROM ({funnel('sess', 'steps', 'f.unified_user_id NOT IN (SELECT unified_user_id FROM gone)')})""",
     "forget_funnel": funnel("sess", "steps", "f.unified_user_id NOT IN (SELECT unified_user_id FROM gone)"),
+    "forget_two_batches": " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, count(*) AS rows_before,
+ count(*) FILTER (WHERE unified_user_id IS NULL OR unified_user_id NOT IN (SELECT unified_user_id FROM gone_twice)) AS rows_after FROM {model}"""
+        for name, model in {
+            "fct_touchpoints": "touch_facts", "fct_sessions": "sess", "fct_conversions": "conv_facts", "dim_users": "users",
+            "identity_graph": "graph", "all_touches": "touches", "conversions": "convs", "session_summary": "sess",
+            "identity_edges": "(SELECT g.unified_user_id FROM edges e JOIN graph g ON g.raw_id = e.raw_id_src)",
+        }.items()
+    )
+    + f""" UNION ALL SELECT 'fct_funnel_steps', (SELECT count(*) FROM channel_funnel), count(*)
+ FROM ({funnel('sess', 'steps', 'f.unified_user_id NOT IN (SELECT unified_user_id FROM gone_twice)')})
+UNION ALL SELECT 'forgotten_users', 0, count(*) FROM gone_twice""",
     "forget_tombstones": f"""SELECT unified_user_id, email_hash, {AS_OF} AS forgotten_at, 'req_' || substr(unified_user_id, 1, 8) AS request_id FROM gone""",
 }
 
@@ -409,6 +432,8 @@ FROM credits GROUP BY 1, 2 HAVING abs(sum(weight) - 1.0) > 0.001""",
 AS_TEXT = {
     "bronze_roundtrip": ["dt"],
     "bronze_lookback": ["dt"],
+    "stream_ingest": ["dt"],
+    "fct_conversions_redelivered": ["conversion_date"],
     "retention_purge": ["dt"],
     "fct_touchpoints": ["touchpoint_date"],
     "fct_conversions": ["conversion_date"],

@@ -141,6 +141,40 @@ def test_everything_equals_brute_force_under_a_hot_person(spark, days):
         assert v == pytest.approx(revenue[k])
 
 
+def test_channels_outside_the_list_have_ranks_and_credit(spark):
+    """A channel nobody listed, and none at all, count as any other."""
+    touches, convs = skewed(seed=5, n=900)
+    other = ["affiliate", None, "email"]
+    touches = [(*t[:3], other[i % 3] if i % 2 else t[3], t[4]) for i, t in enumerate(touches)]
+    t, c = frames(spark, touches, convs)
+    want = brute_pairs(touches, convs, 30)
+    ranked = attribution.attribution_ranked(attribution.touch_axis(t, c, 30), 30).collect()
+    assert {(r.conversion_id, r.touchpoint_id): (r.pos_asc, r.pos_desc) for r in ranked} == {
+        (o[0], x[0]): (i + 1, len(hits) - i) for o, hits in want.items() for i, x in enumerate(hits)
+    }
+    linear, first = defaultdict(float), defaultdict(float)
+    for o, hits in want.items():
+        for i, x in enumerate(hits):
+            linear[(o[0], x[3])] += o[2] / len(hits)
+            first[(o[0], x[3])] += o[2] * (i == 0)
+    rows = attribution.attribution_pivot(attribution.touch_axis(t, c, 30)).collect()
+    got = {(r.conversion_id, r.channel_key): r for r in rows}
+    assert len(rows) == len(got) and got.keys() == linear.keys()
+    assert any(k[1] is None for k in got) and any(k[1] == "affiliate" for k in got)
+    for k, r in got.items():
+        assert r.revenue_linear == pytest.approx(linear[k]) and r.revenue_first_touch == pytest.approx(first[k])
+
+
+def test_conversions_of_a_day_open_with_one_marker(spark):
+    """A hot buyer's orders do not pile up on the opening midnight."""
+    convs = [(f"o{i:03d}", ORDER - timedelta(minutes=i), 1.0, "hot") for i in range(500)]
+    touches = [("t1", ORDER - timedelta(days=2), "ga4", "email", "hot")]
+    t, c = frames(spark, touches, convs)
+    axis = attribution.touch_axis(t, c, 30)
+    assert axis.where("mark = 'lo'").count() == 1 and axis.where("mark = 'hi'").count() == 500
+    assert attribution.conversion_spans(axis).where("n_touches = 1").count() == 500
+
+
 def test_pairs_are_not_regrouped(spark):
     touches, convs = skewed(n=60)
     t, c = frames(spark, touches, convs)

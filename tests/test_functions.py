@@ -42,9 +42,26 @@ def test_email_hash_trims_and_lowers(spark):
 
 
 def test_phone_and_address_are_minimised(spark):
-    row = one(spark, p=keys.phone_hash(F.lit("+32 (0)47-11")), ip=keys.ip_prefix(F.lit("10.2.3.250")))
-    assert row.p == hashlib.sha256(b"+3204711").hexdigest()
-    assert row.ip == "10.2.3.0"
+    spellings = ["+32 (0)47-11", "+32 47 11", "0032 4711", "no number", None]
+    rows = spark.createDataFrame([(x,) for x in spellings], "x string").select("x", keys.phone_hash(F.col("x")).alias("p"))
+    got = {r.x: r.p for r in rows.collect()}
+    want = hashlib.sha256(b"+324711").hexdigest()
+    assert [got[x] for x in spellings] == [want, want, want, None, None]
+    addresses = ["10.2.3.250", "10.2.3.4 ", "2001:db8::1a", "10.2.3", "10.2.3.256", "10.2.3.4\n", None]
+    rows = spark.createDataFrame([(x,) for x in addresses], "x string").select("x", keys.ip_prefix(F.col("x")).alias("p"))
+    got = {r.x: r.p for r in rows.collect()}
+    assert [got[x] for x in addresses] == ["10.2.3.0"] + [None] * 6
+
+
+def test_elapsed_minutes_are_whole(spark):
+    a, b = datetime(2024, 1, 1, 9, 59, 59, 900000), datetime(2024, 1, 1, 10, 0, 59, 100000)
+    row = one(
+        spark,
+        short=timeutil.minutes_elapsed(timeutil.ntz(a), timeutil.ntz(b)),
+        whole=timeutil.minutes_elapsed(timeutil.ntz(a), timeutil.ntz(b.replace(microsecond=900000))),
+        ahead=timeutil.minutes_elapsed(timeutil.ntz(b), timeutil.ntz(a)),
+    )
+    assert (row.short, row.whole, row.ahead) == (0, 1, -1)
 
 
 def test_node_of_nothing_is_nothing(spark):

@@ -9,6 +9,7 @@ from wayfare.params import Params
 from wayfare.plans import erasure
 from wayfare.plans.warehouse import Warehouse
 from wayfare.session import new_run_dir
+from wayfare.sources.published import read_published
 from wayfare.sources.testbed import load_bronze
 
 TINY = "/root/testdata/sf0.001"
@@ -133,6 +134,27 @@ def test_forgetting_cascades_and_repeats_safely(spark, marts):
     assert privacy.resolve(requests, once["dim_users"]).isEmpty()
 
 
+def test_earlier_batches_stay_forgotten(spark, marts):
+    root = new_run_dir(spark, "erased")
+    people = []
+    for address in ("user3@example.com", "user6@example.com", "user3@example.com"):
+        requests = spark.createDataFrame([(address,)], "email string")
+        people += [r.unified_user_id for r in privacy.resolve(requests, marts.table("dim_users")).collect()]
+        erasure.forget(marts, requests, root)
+    folder = erasure.current(spark, root)
+    assert folder.endswith("v000003") and len(set(people)) == 2
+    for name in erasure.PERSONAL + erasure.STORED:
+        left = read_published(spark, folder, name)
+        assert left.where(left.unified_user_id.isin(people)).isEmpty(), name
+        assert left.columns == marts.table(name).columns or set(left.columns) == set(marts.table(name).columns)
+    ids = marts.table("identity_graph")
+    gone = {r.raw_id for r in ids.where(ids.unified_user_id.isin(people)).collect()}
+    edges = read_published(spark, folder, "identity_edges")
+    assert gone and edges.where(edges.raw_id_src.isin(gone) | edges.raw_id_dst.isin(gone)).isEmpty()
+    stones = [r.unified_user_id for r in read_published(spark, folder, "forgotten_users").collect()]
+    assert sorted(stones) == sorted(set(people))
+
+
 def test_rows_without_a_person_survive_erasure(spark):
     df = spark.createDataFrame([("u", 1), (None, 2)], "unified_user_id string, x int")
     gone = spark.createDataFrame([("u",)], "unified_user_id string")

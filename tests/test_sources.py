@@ -123,15 +123,26 @@ def test_stream_takes_each_file_once_and_drops_redeliveries(spark, tmp_path):
     def land(*rows):
         spark.createDataFrame(list(rows), EMAIL).coalesce(1).write.mode("append").parquet(landing)
 
-    def run():
+    def run_ids():
         ingest_events(landed_stream(spark, landing, "email_events"), root, "email_events")
-        return sorted(r.event_id for r in spark.read.parquet(f"{root}/email/events").collect())
+        return [r.event_id for r in spark.read.parquet(f"{root}/email/events").collect()]
+
+    def run():
+        return sorted(run_ids())
 
     land(mail(1), mail(2, "2024-01-06 00:00:00"))
     assert run() == ["e1", "e2"]
     assert run() == ["e1", "e2"]
     land(mail(2, "2024-01-06 00:00:00"), mail(3, "2024-01-06 08:00:00"))
     assert run() == ["e1", "e2", "e3"]
+    # However late, a row is kept; so is one without a time, and those without an id.
+    nameless = (None, *mail(0)[1:])
+    land(mail(4, "2023-03-01 00:00:00"), mail(5, None), nameless, nameless)
+    assert sorted(r or "" for r in run_ids()) == ["", "", "e1", "e2", "e3", "e4", "e5"]
+    land(mail(5, None), mail(4, "2023-03-01 00:00:00"))
+    assert len(run_ids()) == 7
+    back = bronze.read_bronze(spark, root, "email_events")
+    assert back.columns[-1] == "dt" and {r.event_ts for r in back.where("event_id = 'e4'").collect()} == {"2023-03-01 00:00:00"}
 
 
 def test_stream_sessions_equal_the_batch_window(spark, tmp_path):

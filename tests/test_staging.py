@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,3 +72,25 @@ def test_redeliveries_shrink_before_the_shuffle(spark):
 def test_unknown_columns_do_not_reach_silver(spark):
     bronze = spark.createDataFrame([], BRONZE["email_events"]).withColumn("surprise", F.lit(1))
     assert "surprise" not in staging.email_events(bronze).columns
+
+
+def test_an_order_delivered_again_counts_once(spark):
+    day = lambda n: date(2024, 3, n)
+    rows = [
+        ("o1", 10.0, "granted", day(1)),
+        ("o1", 12.0, "granted", day(3)),
+        ("o1", 11.0, "granted", day(2)),
+        ("o2", 5.0, "granted", day(1)),
+        ("o2", 5.0, "granted", day(1)),
+        ("o3", 7.0, "withdrawn", day(1)),
+        (None, 1.0, "granted", day(1)),
+        (None, 1.0, "granted", day(1)),
+    ]
+    bronze = spark.createDataFrame(
+        [(o, 1, "a@b", "2024-03-01 10:00:00", p, "EUR", "paid", "f", "BE", c, d) for o, p, c, d in rows],
+        "order_id string, customer_id long, email string, created_at string, total_price_eur double, currency string, "
+        "financial_status string, fulfillment_status string, country string, consent_status string, dt date",
+    )
+    got = staging.orders(bronze)
+    assert "dt" not in got.columns
+    assert sorted(((r.order_id or "", r.total_price_eur) for r in got.collect())) == [("", 1.0), ("", 1.0), ("o1", 12.0), ("o2", 5.0)]

@@ -17,13 +17,20 @@ def email_hash(email: Column) -> Column:
 
 
 def phone_hash(phone: Column) -> Column:
-    """Hash of the E.164 form: a plus sign and the digits."""
-    return F.sha2(F.concat(F.lit("+"), F.regexp_replace(phone, "[^0-9]", "")), 256)
+    """Hash of the E.164 form: a plus sign and the digits of the international number.
+
+    A trunk zero in brackets and the dialling prefix 00 are no part of it; a
+    text without digits has no number.
+    """
+    digits = F.regexp_replace(F.regexp_replace(phone, r"\(0\)", ""), "[^0-9]", "")
+    number = F.regexp_replace(digits, "^00", "")
+    return F.when(number != "", F.sha2(F.concat(F.lit("+"), number), 256))
 
 
 def ip_prefix(ip: Column) -> Column:
-    """IPv4 cut to its /24 network."""
-    return F.regexp_replace(ip, r"[0-9]+$", "0")
+    """IPv4 cut to its /24 network; NULL for anything that is not a clean IPv4 address."""
+    octet = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+    return F.when(ip.rlike(rf"\A{octet}(\.{octet}){{3}}\z"), F.regexp_replace(ip, r"[0-9]+$", "0"))
 
 
 def fixed(c: Column, digits: int) -> Column:

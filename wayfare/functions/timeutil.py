@@ -34,6 +34,15 @@ def seconds_between(earlier: Column, later: Column) -> Column:
     return second_number(later) - second_number(earlier)
 
 
+def minutes_elapsed(earlier: Column, later: Column) -> Column:
+    """Whole minutes of elapsed time, rounded down."""
+
+    def seconds(c: Column) -> Column:
+        return minute_number(c) * 60 + F.date_part(F.lit("SECOND"), c)
+
+    return F.floor((seconds(later) - seconds(earlier)) / 60).cast("long")
+
+
 def day_start(day: Column) -> Column:
     """Midnight of a date as a naive timestamp."""
     return day.cast("timestamp_ntz")

@@ -5,7 +5,8 @@ conversion covers a contiguous stretch of that axis: it opens at midnight of
 the first day of its window and closes just before its own instant. Putting
 both ends on the axis as markers and counting touches so far - in total and per
 channel - gives for each conversion the number of touches, their split by
-channel and the ranks of the first and the last one. All four models follow
+channel and the ranks of the first and the last one. All of a person's
+conversions of a day open at the same midnight and share one marker. All four models follow
 from these by arithmetic, so the channel-grain facts cost work linear in
 touches plus conversions, and the pair-grain output needs no window over a
 conversion's pairs: a touch knows its rank before it meets the conversion.
@@ -13,9 +14,6 @@ conversion's pairs: a touch knows its rank before it meets the conversion.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,18 +28,21 @@ _COUNTS = [f"n_{c}" for c in CHANNEL_KEYS]
 def touch_axis(touches: DataFrame, convs: DataFrame, window_days: int) -> DataFrame:
     """Touches and conversion markers with running touch counts per channel."""
     opens = day_start(F.date_sub(F.col("conversion_ts").cast("date"), window_days))
-    markers = convs.select(
+    closing = convs.select(
         "unified_user_id",
-        F.explode(
-            F.array(
-                F.struct(F.lit("lo").alias("mark"), opens.alias("axis_ts")),
-                F.struct(F.lit("hi").alias("mark"), F.col("conversion_ts").alias("axis_ts")),
-            )
-        ).alias("m"),
+        F.lit("hi").alias("mark"),
+        F.col("conversion_ts").alias("axis_ts"),
+        opens.alias("opens_ts"),
         F.col("conversion_id").alias("id"),
         "conversion_ts",
         "conversion_value_eur",
-    ).select("unified_user_id", "m.*", "id", "conversion_ts", "conversion_value_eur")
+    )
+    opening = (
+        convs.select("unified_user_id", opens.alias("opens_ts"))
+        .distinct()
+        .select("*", F.lit("lo").alias("mark"), F.col("opens_ts").alias("axis_ts"))
+    )
+    markers = closing.unionByName(opening, allowMissingColumns=True)
 
     points = touches.select(
         "unified_user_id",
@@ -59,7 +60,8 @@ def touch_axis(touches: DataFrame, convs: DataFrame, window_days: int) -> DataFr
         key="unified_user_id",
         ts="axis_ts",
         order_by=["axis_ts", "mark", "source", "id"],
-        measures={
+        measures={"touch_rank": (F.col("mark") == "touch").cast("int")}
+        | {
             name: F.coalesce((F.col("channel_key") == key).cast("int"), F.lit(0))
             for name, key in zip(_COUNTS, CHANNEL_KEYS)
         },
@@ -68,7 +70,7 @@ def touch_axis(touches: DataFrame, convs: DataFrame, window_days: int) -> DataFr
     is_marker = F.col("mark") != "touch"
     return counted.select(
         *axis.columns,
-        reduce(add, [F.col(c) for c in _COUNTS]).alias("touch_rank"),
+        "touch_rank",
         *[F.when(is_marker, F.col(c)).alias(c) for c in _COUNTS],
     )
 
@@ -87,25 +89,67 @@ def ranked_touches(axis: DataFrame) -> DataFrame:
 
 def conversion_spans(axis: DataFrame) -> DataFrame:
     """Per conversion: touches per channel, and the rank range (rank_before, rank_last]."""
-    is_hi = F.col("mark") == "hi"
     return (
-        axis.where(F.col("mark") != "touch")
-        .groupBy(
-            F.col("id").alias("conversion_id"),
+        _spans(axis, ["touch_rank", *_COUNTS])
+        .select(
+            "conversion_id",
             "unified_user_id",
             "conversion_ts",
             "conversion_value_eur",
+            F.col("lo_touch_rank").alias("rank_before"),
+            F.col("hi_touch_rank").alias("rank_last"),
+            *[(F.col(f"hi_{c}") - F.col(f"lo_{c}")).alias(c) for c in _COUNTS],
+            (F.col("hi_touch_rank") - F.col("lo_touch_rank")).alias("n_touches"),
         )
-        .agg(
-            F.sum(F.when(~is_hi, F.col("touch_rank")).otherwise(0)).alias("rank_before"),
-            F.sum(F.when(is_hi, F.col("touch_rank")).otherwise(0)).alias("rank_last"),
-            *[F.sum(F.when(is_hi, F.col(c)).otherwise(-F.col(c))).alias(c) for c in _COUNTS],
-        )
-        .withColumn("n_touches", F.col("rank_last") - F.col("rank_before"))
         .where(F.col("n_touches") > 0)
     )
 
 
+def _spans(axis: DataFrame, counts: list[str], lanes: list[str] = []) -> DataFrame:
+    """Each closing marker with the counts at its opening one; `lanes` are further equal columns."""
+    keys = ["unified_user_id", "opens_ts", *lanes]
+    closing = axis.where(F.col("mark") == "hi").select(
+        *keys,
+        F.col("id").alias("conversion_id"),
+        "conversion_ts",
+        "conversion_value_eur",
+        *[F.col(c).alias(f"hi_{c}") for c in counts],
+    )
+    opening = axis.where(F.col("mark") == "lo").select(
+        *keys, *[F.col(c).alias(f"lo_{c}") for c in counts]
+    )
+    return closing.join(opening, keys)
+
+
+def unlisted_counts(axis: DataFrame) -> DataFrame:
+    """Touches per (conversion, channel) for channels outside the list, NULL among them.
+
+    Each such channel of a person is an axis of its own, with the person's
+    markers on it; without such channels there is nothing to count.
+    """
+    listed = F.coalesce(F.col("channel_key").isin(CHANNEL_KEYS), F.lit(False))
+    lane = F.to_json(F.struct("unified_user_id", "channel_key")).alias("lane")
+    columns = [F.col(c) for c in ["mark", "axis_ts", "opens_ts", "source", "id", "conversion_ts", "conversion_value_eur"]]
+    touches = axis.where((F.col("mark") == "touch") & ~listed)
+    lanes = touches.select("unified_user_id", "channel_key").distinct()
+    markers = axis.where(F.col("mark") != "touch").drop("channel_key").join(lanes, "unified_user_id")
+    points = [df.select("unified_user_id", "channel_key", lane, *columns) for df in (touches, markers)]
+    counted = running_sums(
+        points[0].unionByName(points[1]),
+        key="lane",
+        ts="axis_ts",
+        order_by=["axis_ts", "mark", "source", "id"],
+        measures={"n": (F.col("mark") == "touch").cast("int")},
+    )
+    # The channel's name travels in the lane, so that NULL joins as well.
+    channel = F.get_json_object("lane", "$.channel_key").alias("channel_key")
+    return (
+        _spans(counted, ["n"], ["lane"])
+        .select("conversion_id", channel, (F.col("hi_n") - F.col("lo_n")).alias("touches"))
+        .where(F.col("touches") > 0)
+    )
+
+
 def attribution_ranked(axis: DataFrame, window_days: int) -> DataFrame:
     """Touch x conversion with the touch's position from either end."""
     inside = (F.col("touch_rank") > F.col("rank_before")) & (
@@ -204,19 +248,23 @@ def attribution_pivot(axis: DataFrame) -> DataFrame:
             ]
         )
     )
-    rows = ends.select(
+    about = [
         "conversion_id",
         "conversion_value_eur",
         F.col("n_touches").cast("double").alias("n"),
         "first_channel",
         "last_channel",
-        per_channel.alias("c"),
-    ).where(F.col("c.touches") > 0)
+    ]
+    listed = ends.select(*about, per_channel.alias("c")).where(F.col("c.touches") > 0)
+    unlisted = ends.join(unlisted_counts(axis), "conversion_id").select(
+        *about, F.struct("channel_key", "touches").alias("c")
+    )
+    rows = listed.unionByName(unlisted)
 
     value, n = F.col("conversion_value_eur"), F.col("n")
     k = F.col("c.touches").cast("double")
-    has_first = (F.col("c.channel_key") == F.col("first_channel")).cast("double")
-    has_last = (F.col("c.channel_key") == F.col("last_channel")).cast("double")
+    has_first = F.col("c.channel_key").eqNullSafe(F.col("first_channel")).cast("double")
+    has_last = F.col("c.channel_key").eqNullSafe(F.col("last_channel")).cast("double")
     at_ends = has_first + has_last
     share = (
         F.when(n == 1, F.lit(1.0))

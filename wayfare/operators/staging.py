@@ -87,7 +87,15 @@ def email_events(bronze: DataFrame) -> DataFrame:
 
 
 def orders(bronze: DataFrame) -> DataFrame:
-    return consented(bronze).select(
+    """The latest consented delivery per order, as for customers.
+
+    Shops deliver the same order again on later days, often corrected. The
+    delivery day `dt` decides where the table has one; the trailing sort keys
+    make the choice total. Orders without an id are all kept.
+    """
+    delivered = F.col("dt") if "dt" in bronze.columns else F.lit(None).cast("date")
+    rows = consented(bronze).select(
+        delivered.alias("_delivered"),
         "order_id",
         F.col("customer_id").alias("shopify_customer_id"),
         email_hash(F.col("email")).alias("email_hash"),
@@ -99,6 +107,22 @@ def orders(bronze: DataFrame) -> DataFrame:
         "country",
         "consent_status",
     )
+    newest = Window.partitionBy("order_id").orderBy(
+        *[
+            F.desc_nulls_last(c)
+            for c in [
+                "_delivered", "order_ts", "total_price_eur", "financial_status", "fulfillment_status",
+                "email_hash", "shopify_customer_id", "currency", "country", "consent_status",
+            ]
+        ]
+    )
+    latest = (
+        rows.where(F.col("order_id").isNotNull())
+        .withColumn("_rn", F.row_number().over(newest))
+        .where(F.col("_rn") == 1)
+        .drop("_rn")
+    )
+    return latest.unionByName(rows.where(F.col("order_id").isNull())).drop("_delivered")
 
 
 def customer_versions(bronze: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from wayfare.sources import bronze as bronze_io
 from wayfare.sources import landed
 from wayfare.sources.published import publish, read_published
 from wayfare.sources.testbed import load_bronze
+from wayfare.streaming.ingest import ingest_events, landed_stream
 from wayfare.streaming.sessions import append_closed, cookie_sessions
 
 # The clock and report windows of the registered queries.
@@ -218,6 +219,35 @@ def _one_model(model: str) -> Query:
     return query
 
 
+def stream_ingest(w: Warehouse) -> DataFrame:
+    """Web events landed in two drops; the second brings the late half and all of the first again."""
+    root = new_run_dir(w.spark, "ingest")
+    events = w.bronze["ga4_events"]
+    early = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    for drop in (events.where(early), events):
+        drop.write.mode("append").parquet(f"{root}/landed")
+        ingest_events(landed_stream(w.spark, f"{root}/landed", "ga4_events"), root, "ga4_events")
+    return bronze_io.read_bronze(w.spark, root, "ga4_events")
+
+
+def _redelivered(w: Warehouse) -> Warehouse:
+    """The same warehouse after all orders came a second time, pending ones with a corrected price.
+
+    People and touches stay as they are, so their tables are shared.
+    """
+    orders = w.bronze["shopify_orders"]
+    price = F.col("total_price_eur")
+    again = orders.withColumn(
+        "total_price_eur", F.when(F.col("financial_status") == "pending", price + 5.0).otherwise(price)
+    )
+    both = orders.withColumn("dt", F.lit(date(2024, 3, 1))).unionByName(
+        again.withColumn("dt", F.lit(date(2024, 3, 2)))
+    )
+    after = Warehouse(w.spark, w.bronze | {"shopify_orders": both}, w.params)
+    after.share(w, "identity_graph", "all_touches")
+    return after
+
+
 def stream_sessions(w: Warehouse) -> DataFrame:
     """Closed cookie sessions of the delivered web events, taken up as a stream."""
     root = new_run_dir(w.spark, "stream")
@@ -251,8 +281,22 @@ def forget_tombstones(w: Warehouse) -> DataFrame:
 
 def forget_cascade(w: Warehouse) -> DataFrame:
     after = erasure.forget(w, _requests(w), new_run_dir(w.spark, "erased"))
-    after.pop("forgotten_users")
-    return erasure.cascade_counts({name: w.table(name) for name in after}, after)
+    marts = [*erasure.PERSONAL, "fct_funnel_steps"]
+    return erasure.cascade_counts({n: w.table(n) for n in marts}, {n: after[n] for n in marts})
+
+
+def forget_two_batches(w: Warehouse) -> DataFrame:
+    """Buyers with a refunded order first, buyers from Germany next: rows per table, and tombstones."""
+    root = new_run_dir(w.spark, "erased")
+    erasure.forget(w, _requests(w), root)
+    german = w.bronze["shopify_orders"].where(F.col("country") == "DE").select("email").distinct()
+    erasure.forget(w, german, root)
+    kept = ["identity_edges", "identity_graph", "all_touches", "conversions", "session_summary"]
+    tables = [*erasure.PERSONAL, "fct_funnel_steps", *kept, "forgotten_users"]
+    before = {n: w.table(n) for n in tables[:-1]}
+    before["forgotten_users"] = forget_tombstones(w).limit(0)
+    folder = erasure.current(w.spark, root)
+    return erasure.cascade_counts(before, {n: read_published(w.spark, folder, n) for n in tables})
 
 
 def forget_funnel(w: Warehouse) -> DataFrame:
@@ -308,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "funnel_steps_long": lambda w: sessions.funnel_steps(_long_sessions(w)),
     "fct_funnel_steps": lambda w: sessions.channel_funnel(w.build("session_summary")),
     "fct_funnel_steps_long": lambda w: sessions.channel_funnel(_long_sessions(w)),
+    "stream_ingest": stream_ingest,
     "stream_sessions": stream_sessions,
     # touchpoints
     "all_touches": _model("all_touches"),
@@ -324,6 +369,10 @@ QUERIES: dict[str, Query] = {
     "attribution_reconcile": lambda w: rounded(
         attribution.reconcile(w.table("fct_conversions")), 2
     ),
+    "fct_conversions_redelivered": lambda w: rounded(_redelivered(w).build("fct_conversions"), 6),
+    "attribution_reconcile_redelivered": lambda w: rounded(
+        attribution.reconcile(_redelivered(w).table("fct_conversions")), 2
+    ),
     # dimensions and history
     "dim_users": _model("dim_users"),
     "dim_channels": dim_channels,
@@ -407,6 +456,7 @@ QUERIES: dict[str, Query] = {
     "forget_cascade": forget_cascade,
     "forget_funnel": forget_funnel,
     "forget_tombstones": forget_tombstones,
+    "forget_two_batches": forget_two_batches,
 }
 
 

@@ -1,35 +1,76 @@
 """Right to be forgotten over the published marts.
 
-Parquet folders have no row deletes, so each mart is rewritten without the
-forgotten people into a new version folder; readers switch when all are there.
+Parquet folders have no row deletes, so every stored table with a person in it is
+rewritten without the forgotten people into a new version folder. A version
+starts from the one before and keeps its tombstones; the mark that it is
+finished is written last, and readers open the newest finished version.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.operators import privacy
 from wayfare.operators.sessions import channel_funnel
 from wayfare.plans.warehouse import Warehouse
-from wayfare.sources.published import publish
+from wayfare.session import path_exists, store
+from wayfare.sources.published import publish, read_published
 
 PERSONAL = ["fct_touchpoints", "fct_sessions", "fct_conversions", "dim_users"]
+# Stored on the way to the marts, with a person in every row.
+STORED = ["identity_graph", "all_touches", "conversions", "touch_axis", "session_summary"]
+
+
+def _version(root: str, number: int) -> str:
+    return f"{root}/v{number:06d}"
+
+
+def finished_versions(spark: SparkSession, root: str) -> int:
+    """How many versions under `root` are finished; they are numbered from 1."""
+    n = 0
+    while path_exists(spark, f"{_version(root, n + 1)}/_finished/_SUCCESS"):
+        n += 1
+    return n
+
+
+def current(spark: SparkSession, root: str) -> str | None:
+    """The folder to read published tables from; None before the first erasure."""
+    n = finished_versions(spark, root)
+    return _version(root, n) if n else None
 
 
 def forget(w: Warehouse, requests: DataFrame, root: str) -> dict[str, DataFrame]:
-    """Rewrite every mart under `root` without the people behind `requests(email)`.
+    """A further version under `root`, without the people behind `requests(email)`.
 
-    The channel funnel has no person column and is rebuilt from the sessions
-    that remain. An unknown e-mail changes nothing; a repeated one neither.
+    It starts from the last finished version, or from the warehouse's tables
+    where there is none, so earlier batches stay forgotten and their tombstones
+    stay. The channel funnel has no person column and is rebuilt from the
+    sessions that remain; identity edges go with the ids at their ends. An
+    unknown e-mail changes nothing; a repeated one neither.
     """
-    gone = publish(privacy.resolve(requests, w.table("dim_users")), root, "_forgotten")
-    out = {name: publish(privacy.erase(w.table(name), gone), root, name) for name in PERSONAL}
-    left = privacy.erase(w.table("session_summary"), gone)
-    out["fct_funnel_steps"] = publish(channel_funnel(left), root, "fct_funnel_steps")
-    out["forgotten_users"] = publish(
-        privacy.tombstones(gone, w.params.as_of), root, "forgotten_users"
+    done = finished_versions(w.spark, root)
+    target = _version(root, done + 1)
+
+    def table(name: str) -> DataFrame:
+        return read_published(w.spark, _version(root, done), name) if done else w.table(name)
+
+    gone = publish(privacy.resolve(requests, table("dim_users")), target, "_forgotten")
+    stones = privacy.tombstones(gone, w.params.as_of)
+    if done:
+        stones = table("forgotten_users").unionByName(stones)
+    out = {"forgotten_users": publish(stones, target, "forgotten_users")}
+    for name in PERSONAL + STORED:
+        out[name] = publish(privacy.erase(table(name), gone), target, name)
+    ids = table("identity_graph").join(gone, "unified_user_id", "left_semi").select("raw_id")
+    edges = table("identity_edges")
+    out["identity_edges"] = publish(
+        edges.join(ids, edges.raw_id_src == ids.raw_id, "left_anti"), target, "identity_edges"
+    )
+    out["fct_funnel_steps"] = publish(
+        channel_funnel(out["session_summary"]), target, "fct_funnel_steps"
     )
+    store(w.spark.range(1), f"{target}/_finished")
     return out
 
 

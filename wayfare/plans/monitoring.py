@@ -11,10 +11,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.timeutil import ntz, seconds_between, within_days
+from wayfare.functions.timeutil import minutes_elapsed, ntz, seconds_between, within_days
 from wayfare.params import DISPLAY_SOURCES, SOURCE_LABELS
 from wayfare.plans.reports import _share, one_row, source_label
 
+# The pipelines that deliver.
 INGESTS = ["ga4", "meta", "shopify", "mailchimp"]
 
 
@@ -30,7 +31,7 @@ def _last_day(runs: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def _minutes_ago(ts: Column, as_of: datetime) -> Column:
-    return F.floor(seconds_between(ts, ntz(as_of)) / 60)
+    return minutes_elapsed(ts, ntz(as_of))
 
 
 def pipeline_health(runs: DataFrame, users: DataFrame, start: date, end: date) -> DataFrame:
@@ -140,7 +141,7 @@ def system_signals(runs: DataFrame, users: DataFrame, as_of: datetime) -> DataFr
     consent = _consent_pct(users).select(
         F.lit("consent").alias("signal"),
         F.when(F.col("consent_pct") >= 99, "ok").otherwise("warn").alias("status"),
-        F.concat(F.round("consent_pct").cast("int").cast("string"), F.lit("% propagé")).alias("detail"),
+        F.concat(F.bround("consent_pct").cast("int").cast("string"), F.lit("% propagé")).alias("detail"),
     )
     return reduce(DataFrame.unionByName, [lake, orchestrator, build, checks, consent])
 

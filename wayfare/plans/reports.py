@@ -209,7 +209,7 @@ def unification_per_source(
             source_label(F.col("source")).alias("source"),
             "raw_profiles",
             "unified_profiles",
-            F.round(rate, 1).alias("match_rate_pct"),
+            F.bround(rate, 1).alias("match_rate_pct"),
         )
     )
 
@@ -270,12 +270,12 @@ def attribution_panel(
     # Over the `limit` rows on show, nothing more.
     shown = F.sum("revenue").over(Window.partitionBy())
     return top.select(
-        "channel", "revenue", F.round(F.col("revenue") / shown * 100).alias("share_pct")
+        "channel", "revenue", F.bround(F.col("revenue") / shown * 100).alias("share_pct")
     ).orderBy(F.desc("revenue"), "channel")
 
 
 def gdpr_breakdown(users: DataFrame) -> DataFrame:
-    score = F.coalesce(F.round(_share(F.col("consent_ok"), F.col("total"))), F.lit(0.0))
+    score = F.coalesce(F.bround(_share(F.col("consent_ok"), F.col("total"))), F.lit(0.0))
     return users.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("consent_status") == GRANTED).alias("consent_ok"),

@@ -68,8 +68,11 @@ class Warehouse:
     def over_folder(
         cls, spark: SparkSession, bronze_root: str, root: str, params: Params = Params()
     ) -> Warehouse:
-        """A warehouse over delivered bronze folders, publishing under `root`."""
-        bronze = {name: read_bronze(spark, bronze_root, name).drop("dt") for name in MODELLED}
+        """A warehouse over delivered bronze folders, publishing under `root`.
+
+        The delivery day stays on the rows: it orders the deliveries of an order.
+        """
+        bronze = {name: read_bronze(spark, bronze_root, name) for name in MODELLED}
         return cls(spark, bronze, params, root)
 
     def build(self, name: str) -> DataFrame:
@@ -80,6 +83,10 @@ class Warehouse:
             self._stored[name] = publish(self.build(name), self.root, name)
         return self._stored[name]
 
+    def share(self, other: Warehouse, *names: str) -> None:
+        """Take stored tables that would come out the same from another warehouse."""
+        self._stored |= {name: other.table(name) for name in names}
+
     def publish_marts(self) -> dict[str, DataFrame]:
         """Build everything; tables that do not read each other are written side by side,
         so that one job's last tasks do not leave the cluster idle."""

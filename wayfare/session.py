@@ -73,6 +73,11 @@ def store(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder through the cluster's own file system."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
