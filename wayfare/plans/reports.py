@@ -257,8 +257,8 @@ def attribution_panel(
         .groupBy("channel_key")
         .agg(F.sum("revenue_linear").alias("revenue"))
     )
-    # The channel dimension is a fixed list of nine rows.
-    names = F.broadcast(channels.select("channel_key", "channel_display_name"))
+    # The list may come from any file: whether it is broadcast is left to the engine's size check.
+    names = channels.select("channel_key", "channel_display_name")
     top = (
         per_key.join(names, "channel_key", "left")
         .groupBy(F.coalesce("channel_display_name", "channel_key").alias("channel"))

@@ -14,7 +14,7 @@ def append_runs(runs: DataFrame, root: str) -> None:
     whole = runs.sparkSession.createDataFrame([], BRONZE[TABLE]).unionByName(
         runs, allowMissingColumns=True
     )
-    whole.coalesce(1).write.mode("append").parquet(f"{root}/{TABLE}")
+    whole.write.mode("append").parquet(f"{root}/{TABLE}")
 
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame:
