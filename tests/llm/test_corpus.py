@@ -31,6 +31,7 @@ from wayfare.llm import (  # noqa: E402
     token_files,
     url_filter,
 )
+from wayfare.session import new_run_dir  # noqa: E402
 
 TINY, SMALL = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_words int, size string, shard int, key string, verdict string"
@@ -207,6 +208,44 @@ def test_lines(spark, docs, rows):
     assert cut.columns == docs.columns and cut.count() == len(rows)
 
 
+def crowd(n=3000, pairs=20):
+    """Lines on one template, below 0.8 of each other, and a few twins of them above it."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(12))
+    template = [word() for _ in range(30)]
+    lines = [template + [word() for _ in range(8)] for _ in range(n)]
+    twins = [x[:-1] + [word()] for x in lines[:pairs]]
+    rest = [" ".join(x) for x in lines + twins]
+    order = list(range(len(rest)))
+    rng.shuffle(order)
+    return rest, order, [(i, n + i) for i in range(pairs)]
+
+
+def test_lines_of_large_buckets(spark):
+    # Two values of a signature only, so that most lines share both buckets.
+    lines, order, twins = crowd()
+    docs = spark.createDataFrame([(order[i], x) for i, x in enumerate(lines)], "doc_id long, text string")
+    named = docs.select("doc_id", *line_dedup._line_id(F.col("text")))
+    ids = {r.id: r.doc_id for r in named.select("doc_id", line_dedup._named("k1", "k2").alias("id")).collect()}
+    groups = defaultdict(set)
+    for r in line_dedup.line_classes(docs, rows=1, bands=2).collect():
+        groups[r.root].add(ids[r.id])
+    assert sorted(map(sorted, groups.values())) == sorted(sorted((order[a], order[b])) for a, b in twins)
+
+
+def test_pairs_across_classes_are_not_the_square(spark):
+    lines, _, twins = crowd()
+    sets = line_dedup.shingle_sets(
+        spark.createDataFrame([(x,) for x in lines], "line string").select(
+            *[k.alias(f"e{i}") for i, k in enumerate(line_dedup._line_id(F.col("line")), 1)]
+        ),
+        spark.createDataFrame([(x,) for x in lines], "line string"),
+    )
+    nothing = spark.createDataFrame([], "id string, root string")
+    found = line_dedup.across(sets, nothing, new_run_dir(spark, "crowd"))
+    assert len(twins) <= found.count() < 10 * len(lines)
+
+
 # -- SimHash -----------------------------------------------------------------
 
 
