@@ -23,6 +23,7 @@ from wayfare.llm import (  # noqa: E402
     license_scan,
     line_dedup,
     mixing,
+    near_copies,
     quality,
     queries,
     sharding,
@@ -298,6 +299,41 @@ def test_bit_planes(radius):
 # -- shards ------------------------------------------------------------------
 
 
+def word_set(text, k=5):
+    words = [w.lower() for w in plain(text)]
+    return {" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+
+
+def test_near_copies(spark, docs, rows):
+    sets = [word_set(r[1]) for r in rows]
+    near = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if len(a & b) >= 0.8 * len(a | b)]
+    groups = defaultdict(list)
+    for i, root in classes(range(len(rows)), near).items():
+        groups[root].append(rows[i][0] if rows[i][0] is not None else 1 << 63)
+    kept = near_copies.keep_first(docs)
+    assert kept.schema == docs.schema
+    same([r.doc_id if r.doc_id is not None else 1 << 63 for r in kept.collect()], [min(g) for g in groups.values()])
+
+
+def test_pipeline_drops_copies_with_few_edits(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(2000)]
+    out, want, n = [], [], 0
+    for size, edits in [(100, 1), (200, 1), (200, 3), (400, 1), (400, 6), (1000, 10)] * 8:
+        text = [rng.choice(words) for _ in range(size)]
+        copy = list(text)
+        for at in rng.sample(range(size), edits):
+            copy[at] = "edited"
+        # Half its words new: no copy.
+        other = text[: size // 2] + [rng.choice(words) for _ in range(size - size // 2)]
+        out += [(n, " ".join(text)), (n + 1, " ".join(copy)), (n + 2, " ".join(other))]
+        want += [n, n + 2]
+        n += 3
+    docs = spark.createDataFrame(out, "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, docs, TINY).collect()
+    assert sorted(r.doc_id for r in got) == want
+
+
 def test_shards(spark, docs, rows):
     got = sharding.shard(docs, 3, block_rows=4).collect()
     size = lambda t: len((t or "").encode()) + 1
