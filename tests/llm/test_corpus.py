@@ -247,6 +247,33 @@ def test_pairs_across_classes_are_not_the_square(spark):
     assert len(twins) <= found.count() < 10 * len(lines)
 
 
+def characters(line, k=5):
+    even = " ".join(plain(line))
+    return {even[i : i + k] for i in range(max(1, len(even) - k + 1))}
+
+
+def test_lines_with_one_character_changed(spark):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrst"
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(3, 9)))
+    lines = ["  ".join(word() for _ in range(rng.randint(8, 14))) for _ in range(40)]
+    lines += ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(60)) for _ in range(20)]
+    lines += ["https://" + "".join(rng.choice(letters) for _ in range(70)) for _ in range(20)]
+    lines += ["".join(chr(rng.randrange(0x1F300, 0x1F600)) for _ in range(50)) for _ in range(10)]
+    lines += ["abc", "x"]
+    copies = []
+    for line in lines:
+        at = rng.randrange(len(line) // 2) if " " in line else 2
+        copies.append(line[:at] + "Z" + line[at + (" " in line) :])
+    rows = [(i, x) for i, x in enumerate(lines + copies)]
+    sets = [characters(x) for _, x in rows]
+    exact = [(j, i) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if len(a & b) >= 0.8 * len(a | b)]
+    assert len(exact) > 60
+    got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    gone = {r.doc_id for r in got if r.text == ""}
+    assert gone <= {i for _, i in exact} and len(gone) >= 0.95 * len(exact)
+
+
 # -- SimHash -----------------------------------------------------------------
 
 

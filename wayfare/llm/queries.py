@@ -40,7 +40,8 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    found = line_dedup.repeated_lines(docs, size=line_dedup.CHARACTERS, every=True)
     return found.select(
         "doc_id",
         "n_lines",
