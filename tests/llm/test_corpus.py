@@ -274,6 +274,22 @@ def test_lines_with_one_character_changed(spark):
     assert gone <= {i for _, i in exact} and len(gone) >= 0.95 * len(exact)
 
 
+def test_short_lines_are_not_dropped_by_the_sketch(spark):
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    lines = ["".join(rng.choice(letters) for _ in range(13)) for _ in range(3000)]
+    docs = spark.createDataFrame([(x,) for line in lines for x in (line, line[:-1] + "0")], "line string")
+    keyed = docs.select(*line_dedup._line_id(F.col("line")), "line")
+    signed = line_dedup.banded(keyed, line_dedup.CHARACTERS, every=True).persist()
+    one = signed.join(keyed, ["k1", "k2"]).select("line", "k1", "k2", F.explode("bands").alias("b"))
+    buckets = defaultdict(set)
+    for r in one.collect():
+        buckets[r.b].add((r.k1, r.k2))
+    want = {tuple(sorted(x)) for x in buckets.values() if len(x) == 2}
+    got = {((r.a1, r.a2), (r.b1, r.b2)) for r in line_dedup.candidates(signed).collect()}
+    assert len(want) > 2500 and want <= got
+
+
 # -- SimHash -----------------------------------------------------------------
 
 
