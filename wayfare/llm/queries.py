@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm import (
+    bpe,
     decontaminate,
     license_scan,
     line_dedup,
+    merkle,
     mixing,
     quality,
+    runs,
     sharding,
     simhash,
     substring,
     token_files,
+    twins,
     url_filter,
 )
 from wayfare.llm.common import table
@@ -27,6 +31,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def word_vocabulary() -> str:
+    """The lower-case tokenizer's file on the machine that runs this."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -108,12 +119,46 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), change=runs.repeated_tail, with_text=False)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.start",
+        "strongest.length",
+        "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        "collapsed_sha256",
+    )
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.recoded(table(spark, sf_dir, "documents"), word_vocabulary)
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proven = merkle.manifest(table(spark, sf_dir, "documents"))
+    siblings = F.array_join(F.transform("path", lambda run: F.concat(run["before"], run["behind"])), "")
+    folded = merkle.fold(F.coalesce("tampered_leaf", "leaf"), F.col("path"))
+    return proven.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings, 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict:
     import corpus_pipeline
 
     own = (
         op1_decontamination, op2_line_dedup, op3_simhash, op4_sharding, op5_license_scan,
         op6_mixing, op7_substring_dedup, op8_quality, op9_token_files, op10_url_filter,
+        op11_periodic_runs, op12_bpe, op13_merkle,
     )
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
@@ -192,4 +237,4 @@ FROM numbered LEFT JOIN won USING (r)
 
 def oracle_sql() -> dict[str, str]:
     """Twins of the queries that SQL can express on the driver's tables."""
-    return {"op1_decontamination": _OP1, "op7_substring_dedup": _OP7, "op10_url_filter": _OP10}
+    return {"op1_decontamination": _OP1, "op7_substring_dedup": _OP7, "op10_url_filter": _OP10, "op11_periodic_runs": twins.RUNS, "op13_merkle": twins.MERKLE}
