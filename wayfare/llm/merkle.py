@@ -16,12 +16,14 @@ A row's path, the siblings of its node and of all nodes above, goes down from
 the root level by level; folding a leaf through it gives the root that the leaf
 proves. A group without a name comes before all others. Rows without an id come
 first in their group; rows with the same id are ordered by leaf, so the root
-does not depend on their order. Missing values and empty texts hash differently. An empty table gives an
-empty result.
+does not depend on their order. Missing values and empty texts hash differently.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ from wayfare.session import new_run_dir, store
 
 FANOUT = 8
 # Nodes per window: whole runs.
-BLOCK = FANOUT**3
+BLOCK = FANOUT**2
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _ROW_BITS = 33
@@ -120,14 +122,14 @@ def tops(levels: list[DataFrame]) -> DataFrame:
     return out
 
 
-def paths(levels: list[DataFrame], above: DataFrame) -> DataFrame:
-    """`climb` and `above(tree, top, path)` for the trees' tops -> the lowest level's rows with `top` and `path`.
+def paths(levels: list[DataFrame], with_path: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`climb` -> the lowest level's rows with `top` and `path`, which `with_path` gives to the trees' tops.
 
     `path` lists (before, behind) from the node's own run up to the root.
     """
     known = None
     for level in reversed(levels):
-        ends = level.where("n = 1").join(above, "tree")
+        ends = with_path(level.where("n = 1"))
         if known is None:
             found = ends
         else:
@@ -171,9 +173,9 @@ def manifest(docs: DataFrame, group: str = "lang") -> DataFrame:
     root = tops(upper).first()
     top = F.lit(root["hash"] if root else None).cast("string")
     none = F.array().cast("array<struct<before:string,behind:string>>")
-    whole = upper[0].select(F.lit("").alias("tree")).distinct().select("tree", F.lit("").alias("top"), none.alias("path"))
-    subroots = paths(upper, whole).select(F.col("name").alias("tree"), F.col("hash").alias("top"), "path")
+    subroots = paths(upper, lambda end: end.withColumns({"top": F.lit(""), "path": none}))
+    subroots = subroots.select(F.col("name").alias("tree"), F.col("hash").alias("top"), "path")
     subroots = store(subroots, f"{run}/subroot-paths")
-    return paths(lower, subroots).select(
+    return paths(lower, lambda end: end.join(subroots, "tree")).select(
         "doc_id", F.col("hash").alias("leaf"), F.col("top").alias("subroot"), top.alias("root"), "path", "tampered_leaf"
     )
