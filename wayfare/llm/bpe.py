@@ -44,8 +44,8 @@ from wayfare.session import new_run_dir, store
 
 # Chunks: bytes of the rolling window (a power of two), bits that must be zero at a cut, least and largest size.
 WINDOW_BITS = 4
-CUT_BITS = 9
-MIN_CHUNK = 128
+CUT_BITS = 10
+MIN_CHUNK = 256
 MAX_CHUNK = 8192
 # Words encoded again on either side of a cut.
 REACH = 2
@@ -53,9 +53,14 @@ REACH = 2
 FILTER_BITS = 1 << 25
 # Chunks and texts a task remembers to have passed on already.
 MEMORY = 500_000
+# Words whose ids a Python worker remembers, the longest of them, and the rows encoded at a time.
+WORDS = 200_000
+WORD_CHARS = 64
+ROWS = 128
 
 _FACTOR = 0x9E3779B97F4A7C15
 _SAFE = re.compile(r"(?<=[ \n])[!-~]")
+_BETWEEN = re.compile(r"[ \n](?=[!-~])")
 
 
 # -- chunks ------------------------------------------------------------------
@@ -152,7 +157,7 @@ class Joint:
                 return None
             pieces.append((a, ids[len(head) : last]))
         pieces.sort(key=lambda p: p[0])
-        return np.concatenate([p for _, p in pieces]) if pieces else np.empty(0, np.uint32)
+        return np.concatenate([p for _, p in pieces]) if pieces else np.empty(0, np.uint16)
 
 
 def join_all(texts_: list[tuple[list[str], list[np.ndarray]]], encode: Encode, reach: int = REACH) -> list[np.ndarray]:
@@ -173,7 +178,11 @@ def join_all(texts_: list[tuple[list[str], list[np.ndarray]]], encode: Encode, r
 
 
 class Coder:
-    """A tokenizer with what its results are digested to."""
+    """A tokenizer that remembers words, with what its results are digested to.
+
+    A text is divided at the blanks and line feeds that `_SAFE` accepts, so its
+    ids are those of its words one after the other.
+    """
 
     def __init__(self, path: str):
         # One core per task; the library's threads would ask for all of them.
@@ -183,11 +192,28 @@ class Coder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.numbers = [str(i) for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.numbers = [str(i) for i in range(size)]
+        self.words: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(words, found, strict=True)}
 
     def encode(self, texts_: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts_, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in found]
+        known, out = self.words, []
+        for text in texts_:
+            words = _BETWEEN.split(text)
+            new = [w for w in set(words) if w not in known]
+            long = self._learn([w for w in new if len(w) > WORD_CHARS])
+            if len(known) + len(new) > WORDS:
+                known.clear()
+                new = list(set(words))
+            known.update(self._learn([w for w in new if len(w) <= WORD_CHARS]))
+            ids = [known[w] if w in known else long[w] for w in words] if long else map(known.__getitem__, words)
+            out.append(np.frombuffer(b"".join(ids), self.kind))
+        return out
 
     def digests(self, ids: np.ndarray) -> tuple[int, str, str]:
         """Number of ids, digest of the ids, digest of the decoded text."""
@@ -267,7 +293,7 @@ def passed_on(docs: DataFrame, shared: np.ndarray, vocabulary: Callable[[], str]
             seen.add(key)
             return True
 
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, len(b), ROWS)):
             out, plain, own = [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch, "text"), strict=True):
                 chunks = chunks_of(text, **sizes)
@@ -295,7 +321,7 @@ def passed_on(docs: DataFrame, shared: np.ndarray, vocabulary: Callable[[], str]
             for (doc_id, _), ids in zip(plain, code.encode([t for _, t in plain]), strict=True):
                 out.append((doc_id, _DONE, None, None, None, None, None, None, None, *code.digests(ids)))
             for (whole, seq, body), ids in zip(own, code.encode([b.decode() for _, _, b in own]), strict=True):
-                out.append((None, _OWN, *whole, seq, None, None, body, ids.astype("<u4").tobytes(), *nothing))
+                out.append((None, _OWN, *whole, seq, None, None, body, ids.tobytes(), *nothing))
             yield _as_batch(out, schema)
 
     return docs.mapInArrow(run, schema)
@@ -306,9 +332,9 @@ def encoded_chunks(chunks: DataFrame, vocabulary: Callable[[], str]) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(vocabulary())
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, len(b), ROWS)):
             ids = code.encode([b.decode() for b in batch.column("text").to_pylist()])
-            yield batch.append_column("code", pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()))
+            yield batch.append_column("code", pa.array([i.tobytes() for i in ids], pa.binary()))
 
     return chunks.mapInArrow(run, "c1 bigint, c2 bigint, text binary, code binary")
 
@@ -320,9 +346,9 @@ def joined_texts(parts: DataFrame, vocabulary: Callable[[], str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(vocabulary())
         for batch in batches:
-            for some in (batch.slice(at, 256) for at in range(0, len(batch), 256)):
+            for some in (batch.slice(at, ROWS) for at in range(0, len(batch), ROWS)):
                 read = [
-                    ([p["body"].decode() for p in one], [np.frombuffer(p["ids"], "<u4") for p in one])
+                    ([p["body"].decode() for p in one], [np.frombuffer(p["ids"], code.kind) for p in one])
                     for one in some.column("parts").to_pylist()
                 ]
                 keys = zip(some.column("t1").to_pylist(), some.column("t2").to_pylist(), strict=True)
@@ -347,17 +373,12 @@ def recoded(docs: DataFrame, vocabulary: Callable[[], str], filter_bits: int = F
         .agg(F.first("body").alias("text"))
     )
     codes = store(encoded_chunks(chunks, vocabulary), f"{run}/codes")
-    # A text that several tasks passed on is made once.
-    pieces = (
-        passed.where(F.col("kind").isin(_OWN, _REF))
-        .groupBy("t1", "t2", "seq")
-        .agg(F.first(F.struct("h1", "h2", "body", "ids")).alias("p"))
-        .select("t1", "t2", "seq", "p.*")
-    )
-    here = splittable(F.col("h1"), F.col("c1")) & (F.col("h2") == F.col("c2"))
-    known = pieces.join(codes, here, "left").select(
-        "t1", "t2", F.struct("seq", F.coalesce("text", "body").alias("body"), F.coalesce("code", "ids").alias("ids")).alias("part")
-    )
+    # A text that several tasks passed on has shared chunks only and is made once.
+    order = passed.where(F.col("kind") == _REF).groupBy("t1", "t2", "seq").agg(F.first(F.struct("h1", "h2")).alias("h"))
+    here = splittable(F.col("h.h1"), F.col("c1")) & (F.col("h.h2") == F.col("c2"))
+    shared = order.join(codes, here).select("t1", "t2", F.struct("seq", F.col("text").alias("body"), F.col("code").alias("ids")).alias("part"))
+    own = passed.where(F.col("kind") == _OWN).select("t1", "t2", F.struct("seq", "body", "ids").alias("part"))
+    known = shared.unionByName(own)
     whole = known.groupBy("t1", "t2").agg(F.array_sort(F.collect_list("part")).alias("parts"))
     made = store(joined_texts(whole, vocabulary), f"{run}/made")
     results = ["n_tokens", "ids_sha256", "decoded_sha256"]
