@@ -33,6 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,13 +54,16 @@ REACH = 2
 FILTER_BITS = 1 << 25
 # Chunks and texts a task remembers to have passed on already.
 MEMORY = 500_000
-# Words whose ids a Python worker remembers, the longest of them, and the rows encoded at a time.
-WORDS = 200_000
+# Words and pieces whose ids a Python worker remembers, the longest of them, and the rows encoded at a time.
+WORDS = 500_000
 WORD_CHARS = 64
 ROWS = 128
 
 _FACTOR = 0x9E3779B97F4A7C15
 _SAFE = re.compile(r"(?<=[ \n])[!-~]")
+# Words on the short way, and the vocabulary's pattern for their pieces.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+(?:[ \n][!-~À-ÖØ-öø-ÿ]+)*")
+_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _BETWEEN = re.compile(r"[ \n](?=[!-~])")
 
 
@@ -181,13 +185,17 @@ class Coder:
     """A tokenizer that remembers words, with what its results are digested to.
 
     A text is divided at the blanks and line feeds that `_SAFE` accepts, so its
-    ids are those of its words one after the other.
+    ids are those of its words one after the other. Words of printable ASCII and
+    Latin letters up to U+00FF, which no normal form changes, are lower-cased,
+    split by the vocabulary's pattern and handed to its merges; any other word
+    goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         # One core per task; the library's threads would ask for all of them.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -195,24 +203,40 @@ class Coder:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.numbers = [str(i) for i in range(size)]
+        self.spelling = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merges = self.tokenizer.model.tokenize
+        # Words as they stand, and pieces of words in lower case.
         self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        spelt = piece if piece.isascii() else self.spelling.pre_tokenize_str(piece)[0][0]
+        ids = np.array([t.id for t in self.merges(spelt)], self.kind).tobytes()
+        if len(piece) <= WORD_CHARS:
+            self.pieces[piece] = ids
+        return ids
+
+    def _plain(self, word: str) -> bytes:
+        pieces = self.pieces
+        return b"".join([pieces.get(p) or self._piece(p) for p in _PIECE.findall(word.lower())])
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(words, found, strict=True)}
+        odd = [w for w in words if not _PLAIN.fullmatch(w) or "<|" in w]
+        found = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False) if odd else []
+        out = {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(odd, found, strict=True)}
+        return out | {w: self._plain(w) for w in words if w not in out}
 
     def encode(self, texts_: list[str]) -> list[np.ndarray]:
         known, out = self.words, []
         for text in texts_:
             words = _BETWEEN.split(text)
-            new = [w for w in set(words) if w not in known]
-            long = self._learn([w for w in new if len(w) > WORD_CHARS])
-            if len(known) + len(new) > WORDS:
+            if len(known) + len(self.pieces) + len(words) > WORDS:
                 known.clear()
-                new = list(set(words))
-            known.update(self._learn([w for w in new if len(w) <= WORD_CHARS]))
-            ids = [known[w] if w in known else long[w] for w in words] if long else map(known.__getitem__, words)
+                self.pieces.clear()
+            new = self._learn([w for w in set(words) if w not in known])
+            ids = [known[w] if w in known else new[w] for w in words] if new else map(known.__getitem__, words)
             out.append(np.frombuffer(b"".join(ids), self.kind))
+            known.update((w, i) for w, i in new.items() if len(w) <= WORD_CHARS)
         return out
 
     def digests(self, ids: np.ndarray) -> tuple[int, str, str]:
