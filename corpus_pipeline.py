@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.llm import decontaminate, mixing, near_copies, quality, token_files
+from wayfare.llm import decontaminate, mixing, quality, simhash, token_files
 from wayfare.llm.common import table
 from wayfare.llm.queries import vocabulary
 from wayfare.session import new_run_dir, store
@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates, the one with the smallest id."""
-    return near_copies.keep_first(docs)
+    """One document of every group of linked fingerprints, the one with the smallest id."""
+    return simhash.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality rules", quality_rules),
-    ("near-duplicates", near_duplicates),
+    ("SimHash near-duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("source mix", source_mix),
     ("token files", token_output),
