@@ -52,7 +52,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = line_dedup.repeated_lines(docs, size=line_dedup.CHARACTERS, every=True)
+    found = line_dedup.repeated_lines(docs)
     return found.select(
         "doc_id",
         "n_lines",
