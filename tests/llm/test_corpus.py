@@ -237,8 +237,9 @@ def candidate_count(spark, lines):
     signed = line_dedup.signatures_of(line_dedup.signed_rows(line_dedup.line_rows(docs))).persist()
     buckets = line_dedup.shared_buckets(signed).persist()
     nothing = spark.createDataFrame([], "id string, root string")
-    first = line_dedup.first_pairs(signed, buckets)
-    return first.unionByName(line_dedup.missed_pairs(signed, buckets, nothing)).distinct().count()
+    large = line_dedup.members(signed, buckets).persist()
+    first = line_dedup.first_pairs(buckets, large)
+    return first.unionByName(line_dedup.missed_pairs(signed, large, nothing)).distinct().count()
 
 
 def test_candidates_of_short_lines_grow_in_proportion(spark):
