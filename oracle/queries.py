@@ -275,6 +275,12 @@ SELECT conversion_id, {fixed('conversion_value_eur', 4)} AS conversion_value_eur
  {fixed('w / total', 4)} AS weight, {fixed('conversion_value_eur * (w / total)', 4)} AS revenue_share_eur
 FROM (SELECT *, sum(w) OVER (PARTITION BY conversion_id) AS total FROM (SELECT *,
   pow(CAST(2.0 AS DOUBLE), -(date_diff('second', touchpoint_ts, conversion_ts) / CAST(86400.0 AS DOUBLE)) / CAST(7.0 AS DOUBLE)) AS w FROM enriched))""",
+    "attribution_time_decay_channels": f"""
+SELECT conversion_id, channel_key, {fixed('sum(w) / any_value(total)', 4)} AS weight,
+ {fixed('any_value(conversion_value_eur) * (sum(w) / any_value(total))', 4)} AS revenue_time_decay
+FROM (SELECT *, sum(w) OVER (PARTITION BY conversion_id) AS total FROM (SELECT *,
+  pow(CAST(2.0 AS DOUBLE), -(date_diff('second', touchpoint_ts, conversion_ts) / CAST(86400.0 AS DOUBLE)) / CAST(7.0 AS DOUBLE)) AS w FROM enriched))
+GROUP BY conversion_id, channel_key""",
     "attribution_pivot": "SELECT conversion_id, channel_key, "
     + ", ".join(f"{fixed(c, 6)} AS {c}" for c in CONV_COLS)
     + " FROM pivoted",

@@ -189,11 +189,49 @@ def test_time_decay_halves_per_half_life(spark):
         ("new", ORDER - timedelta(days=1), "ga4", "direct", "u"),
     ]
     t, c = frames(spark, touches, [("o", ORDER, 90.0, "u")])
-    got = {r.touchpoint_id: r for r in attribution.time_decay(t, c, 30, 7.0).collect()}
+    got = {r.touchpoint_id: r for r in attribution.time_decay(t, c, attribution.touch_axis(t, c, 30), 30, 7.0).collect()}
     assert got["new"].weight == pytest.approx(2 / 3) and got["old"].weight == pytest.approx(1 / 3)
     assert got["new"].revenue_share_eur == pytest.approx(60)
 
 
+def test_end_touches_need_no_pairs(spark):
+    touches, convs = skewed(seed=9, n=400)
+    t, c = frames(spark, touches, convs)
+    axis = attribution.touch_axis(t, c, 30)
+    for model, end in (("first_touch", 0), ("last_touch", -1)):
+        found = attribution.end_touch(axis, model)
+        want = {o[0]: (hits[end][0], o[2]) for o, hits in brute_pairs(touches, convs, 30).items() if hits}
+        assert {r.conversion_id: (r.touchpoint_id, r.revenue_share_eur) for r in found.collect()} == want
+        assert "_conv_bucket" not in found._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("days", [1, 30])
+def test_time_decay_from_prefix_sums(spark, days):
+    """Totals and channel shares against sums over pairs, over 40 years, channels outside the list included."""
+    touches, convs = skewed(seed=6, n=600)
+    other = ["affiliate", None]
+    touches = [(*t[:3], other[i % 2] if i % 7 == 0 else t[3], t[4]) for i, t in enumerate(touches)]
+    back = lambda rows, at: [(f"{r[0]}-old", r[1] - timedelta(days=14600), *r[2:at], r[at]) for r in rows]
+    touches, convs = touches + back(touches, 4), convs + back(convs, 3)
+    t, c = frames(spark, touches, convs)
+    axis = attribution.touch_axis(t, c, days)
+    pairs, shares, value = {}, defaultdict(float), {}
+    for o, hits in brute_pairs(touches, convs, days).items():
+        mass = [2.0 ** (-(o[1].replace(microsecond=0) - x[1].replace(microsecond=0)).total_seconds() / 86400 / 7) for x in hits]
+        for x, m in zip(hits, mass):
+            pairs[(o[0], x[0])] = m / sum(mass)
+            shares[(o[0], x[3])] += m / sum(mass)
+            value[o[0]] = o[2]
+    got = {(r.conversion_id, r.touchpoint_id): r.weight for r in attribution.time_decay(t, c, axis, days, 7.0).collect()}
+    assert got.keys() == pairs.keys() and all(w == pytest.approx(pairs[k]) for k, w in got.items())
+    rows = attribution.time_decay_channels(axis, days, 7.0)
+    assert "_conv_bucket" not in rows._jdf.queryExecution().analyzed().toString()
+    by = {(r.conversion_id, r.channel_key): r for r in rows.collect()}
+    assert by.keys() == shares.keys() and any(k[1] is None for k in by)
+    for k, r in by.items():
+        assert r.weight == pytest.approx(shares[k]) and r.revenue_time_decay == pytest.approx(value[k[0]] * shares[k])
+
+
 def test_orders_without_touches_stay_with_no_channel(spark):
     touches = [
         ("a", ORDER - timedelta(days=2), "ga4", "email", "u"),

@@ -18,9 +18,14 @@ from wayfare.functions.timeutil import minute_number
 
 
 def running_sums(
-    df: DataFrame, key: str, ts: str, order_by: list[str], measures: dict[str, Column]
+    df: DataFrame,
+    key: str,
+    ts: str,
+    order_by: list[str],
+    measures: dict[str, Column],
+    kind: str = "long",
 ) -> DataFrame:
-    """`sum(measure) over (partition by key order by order_by rows to current)` per measure.
+    """`sum(measure) over (partition by key order by order_by rows to current)` per measure, as `kind`.
 
     `order_by` starts with `ts` and must be a total order. Rows with a NULL
     key or time have no place on the grid and are left out.
@@ -29,7 +34,7 @@ def running_sums(
     rows = known.select(
         "*",
         minute_number(F.col(ts)).alias("_slot"),
-        *[m.cast("long").alias(f"_one_{name}") for name, m in measures.items()],
+        *[m.cast(kind).alias(f"_one_{name}") for name, m in measures.items()],
     )
 
     inside = (
@@ -55,7 +60,7 @@ def running_sums(
             key,
             "_slot",
             *[
-                F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_off_{n}")
+                F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0).cast(kind)).alias(f"_off_{n}")
                 for n in measures
             ],
         )

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.grid import running_sums
-from wayfare.functions.timeutil import day_start, seconds_between
+from wayfare.functions.timeutil import day_number, day_start, second_number, seconds_between
 from wayfare.operators.touchpoints import in_window_pairs
 from wayfare.params import CHANNEL_KEYS, MODELS
 
@@ -107,7 +107,7 @@ def conversion_spans(axis: DataFrame) -> DataFrame:
 
 def _spans(axis: DataFrame, counts: list[str], lanes: list[str] = []) -> DataFrame:
     """Each closing marker with the counts at its opening one; `lanes` are further equal columns."""
-    keys = ["unified_user_id", "opens_ts", *lanes]
+    keys = list(dict.fromkeys(["unified_user_id", "opens_ts", *lanes]))
     closing = axis.where(F.col("mark") == "hi").select(
         *keys,
         F.col("id").alias("conversion_id"),
@@ -121,30 +121,32 @@ def _spans(axis: DataFrame, counts: list[str], lanes: list[str] = []) -> DataFra
     return closing.join(opening, keys)
 
 
-def unlisted_counts(axis: DataFrame) -> DataFrame:
-    """Touches per (conversion, channel) for channels outside the list, NULL among them.
+def _lanes(axis: DataFrame) -> DataFrame:
+    """The touches of channels outside the list, each channel of a person an axis with all the person's markers.
 
-    Each such channel of a person is an axis of its own, with the person's
-    markers on it; without such channels there is nothing to count.
+    The channel's name travels as JSON in `lane_channel`, so that NULL joins as well.
     """
     listed = F.coalesce(F.col("channel_key").isin(CHANNEL_KEYS), F.lit(False))
-    lane = F.to_json(F.struct("unified_user_id", "channel_key")).alias("lane")
-    columns = [F.col(c) for c in ["mark", "axis_ts", "opens_ts", "source", "id", "conversion_ts", "conversion_value_eur"]]
-    touches = axis.where((F.col("mark") == "touch") & ~listed)
-    lanes = touches.select("unified_user_id", "channel_key").distinct()
-    markers = axis.where(F.col("mark") != "touch").drop("channel_key").join(lanes, "unified_user_id")
-    points = [df.select("unified_user_id", "channel_key", lane, *columns) for df in (touches, markers)]
+    name = F.to_json(F.struct("channel_key")).alias("lane_channel")
+    columns = ["unified_user_id", "mark", "axis_ts", "opens_ts", "source", "id", "conversion_ts", "conversion_value_eur"]
+    touches = axis.where((F.col("mark") == "touch") & ~listed).select(*columns, name)
+    lanes = touches.select("unified_user_id", "lane_channel").distinct()
+    markers = axis.where(F.col("mark") != "touch").select(*columns).join(lanes, "unified_user_id")
+    return touches.unionByName(markers)
+
+
+def unlisted_counts(axis: DataFrame) -> DataFrame:
+    """Touches per (conversion, channel) for channels outside the list, NULL among them."""
     counted = running_sums(
-        points[0].unionByName(points[1]),
+        _lanes(axis).withColumn("lane", F.struct("unified_user_id", "lane_channel")),
         key="lane",
         ts="axis_ts",
         order_by=["axis_ts", "mark", "source", "id"],
         measures={"n": (F.col("mark") == "touch").cast("int")},
     )
-    # The channel's name travels in the lane, so that NULL joins as well.
-    channel = F.get_json_object("lane", "$.channel_key").alias("channel_key")
+    channel = F.get_json_object("lane_channel", "$.channel_key").alias("channel_key")
     return (
-        _spans(counted, ["n"], ["lane"])
+        _spans(counted, ["n"], ["lane_channel"])
         .select("conversion_id", channel, (F.col("hi_n") - F.col("lo_n")).alias("touches"))
         .where(F.col("touches") > 0)
     )
@@ -224,21 +226,39 @@ def touchpoints_attribution(ranked: DataFrame) -> DataFrame:
     )
 
 
-def attribution_pivot(axis: DataFrame) -> DataFrame:
-    """Revenue per (conversion, channel) under each model, straight from the spans."""
-    touches = ranked_touches(axis)
+def _touches_at(axis: DataFrame, rank: str, **names: str) -> DataFrame:
+    """Touches by their rank, to be looked up from a conversion's rank range."""
+    columns = [F.col(column).alias(name) for name, column in names.items()]
+    return ranked_touches(axis).select("unified_user_id", F.col("touch_rank").alias(rank), *columns)
 
-    def channel_at(rank: str, name: str) -> DataFrame:
-        return touches.select(
-            F.col("unified_user_id"),
-            F.col("touch_rank").alias(rank),
-            F.col("channel_key").alias(name),
-        )
 
+def end_touch(axis: DataFrame, model: str) -> DataFrame:
+    """All credit to the first or the last touch of each conversion.
+
+    The ranks at both ends of a conversion's stretch are on the axis, so its end
+    touch is one row found by an equi-join on (person, rank); no touch meets a
+    conversion that it does not get the credit of.
+    """
+    ends = {"first_touch": F.col("rank_before") + 1, "last_touch": F.col("rank_last")}
+    asked = conversion_spans(axis).withColumn("rank", ends[model])
+    found = _touches_at(axis, "rank", touchpoint_id="touchpoint_id", channel_key="channel_key")
+    return asked.join(found, ["unified_user_id", "rank"]).select(
+        "conversion_id",
+        "conversion_value_eur",
+        "touchpoint_id",
+        "channel_key",
+        F.lit(model).alias("attribution_model"),
+        F.lit(1.0).alias("weight"),
+        F.col("conversion_value_eur").alias("revenue_share_eur"),
+    )
+
+
+def conversion_channels(axis: DataFrame) -> DataFrame:
+    """Per (conversion, channel): how many touches of it, of all, and whether it holds the first or last."""
     spans = conversion_spans(axis).withColumn("rank_first", F.col("rank_before") + 1)
     ends = spans.join(
-        channel_at("rank_first", "first_channel"), ["unified_user_id", "rank_first"]
-    ).join(channel_at("rank_last", "last_channel"), ["unified_user_id", "rank_last"])
+        _touches_at(axis, "rank_first", first_channel="channel_key"), ["unified_user_id", "rank_first"]
+    ).join(_touches_at(axis, "rank_last", last_channel="channel_key"), ["unified_user_id", "rank_last"])
 
     per_channel = F.explode(
         F.array(
@@ -248,32 +268,37 @@ def attribution_pivot(axis: DataFrame) -> DataFrame:
             ]
         )
     )
-    about = [
-        "conversion_id",
-        "conversion_value_eur",
-        F.col("n_touches").cast("double").alias("n"),
-        "first_channel",
-        "last_channel",
-    ]
+    about = ["conversion_id", "unified_user_id", "conversion_value_eur", "n_touches", "first_channel", "last_channel"]
     listed = ends.select(*about, per_channel.alias("c")).where(F.col("c.touches") > 0)
     unlisted = ends.join(unlisted_counts(axis), "conversion_id").select(
         *about, F.struct("channel_key", "touches").alias("c")
     )
-    rows = listed.unionByName(unlisted)
+    return listed.unionByName(unlisted).select(
+        "conversion_id",
+        "unified_user_id",
+        "conversion_value_eur",
+        "n_touches",
+        "c.channel_key",
+        "c.touches",
+        F.col("c.channel_key").eqNullSafe(F.col("first_channel")).alias("has_first"),
+        F.col("c.channel_key").eqNullSafe(F.col("last_channel")).alias("has_last"),
+    )
+
 
-    value, n = F.col("conversion_value_eur"), F.col("n")
-    k = F.col("c.touches").cast("double")
-    has_first = F.col("c.channel_key").eqNullSafe(F.col("first_channel")).cast("double")
-    has_last = F.col("c.channel_key").eqNullSafe(F.col("last_channel")).cast("double")
+def pivot_channels(channels: DataFrame) -> DataFrame:
+    """Revenue per (conversion, channel) under each model, by arithmetic on `conversion_channels`."""
+    value, n = F.col("conversion_value_eur"), F.col("n_touches").cast("double")
+    k = F.col("touches").cast("double")
+    has_first, has_last = F.col("has_first").cast("double"), F.col("has_last").cast("double")
     at_ends = has_first + has_last
     share = (
         F.when(n == 1, F.lit(1.0))
         .when(n == 2, k * 0.5)
         .otherwise(at_ends * 0.4 + (k - at_ends) * 0.2 / (n - 2))
     )
-    return rows.select(
+    return channels.select(
         "conversion_id",
-        F.col("c.channel_key").alias("channel_key"),
+        "channel_key",
         (value * has_first).alias("revenue_first_touch"),
         (value * has_last).alias("revenue_last_touch"),
         (value * k / n).alias("revenue_linear"),
@@ -281,6 +306,11 @@ def attribution_pivot(axis: DataFrame) -> DataFrame:
     )
 
 
+def attribution_pivot(axis: DataFrame) -> DataFrame:
+    """Revenue per (conversion, channel) under each model, straight from the spans."""
+    return pivot_channels(conversion_channels(axis))
+
+
 def conversion_facts(orders_with_buyer: DataFrame, pivot: DataFrame) -> DataFrame:
     """Every order x channel it credits; orders without touches keep a NULL channel."""
     return (
@@ -335,27 +365,62 @@ def reconcile(facts: DataFrame) -> DataFrame:
     )
 
 
+def _decay_sums(axis: DataFrame, window_days: int, half_life_days: float, lane: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Per closing marker: the decayed count of touches in its window, under each condition of `sums`.
+
+    2^(-(c - t) / h) is a factor of the touch times one of the conversion, so the
+    sum over a window is a difference of two prefix sums of the touches' factor.
+    The axis is cut into blocks of a window's width. Factors count from the
+    start of their block, so they never exceed 2^(width / h) however long the
+    history, and each prefix sum stays inside a block; a window touches two
+    blocks at most.
+    """
+    width = window_days + 1
+    seconds = F.lit(width * 86400).cast("long")
+    block = F.floor(day_number(F.col("axis_ts")) / width)
+    point = axis.drop("touch_rank", *_COUNTS).withColumn("block", block).withColumn("lane", F.struct(*lane, "block"))
+    rate = F.lit(half_life_days * 86400.0)
+    factor = F.pow(F.lit(2.0), (second_number(F.col("axis_ts")) - F.col("block") * seconds).cast("double") / rate)
+    mass = {name: F.when((F.col("mark") == "touch") & holds, factor).otherwise(F.lit(0.0)) for name, holds in sums.items()}
+    counted = running_sums(
+        point, key="lane", ts="axis_ts", order_by=["axis_ts", "mark", "source", "id"], measures=mass, kind="double"
+    )
+    wholes = point.groupBy(*lane, F.col("block").alias("lo_block")).agg(*[F.sum(m).alias(f"all_{n}") for n, m in mass.items()])
+    spans = _spans(counted, ["block", *sums], lane).join(wholes, [*lane, "lo_block"])
+
+    def since(start: Column) -> Column:
+        return F.pow(F.lit(2.0), -(second_number(F.col("conversion_ts")) - start * seconds).cast("double") / rate)
+
+    def decayed(name: str) -> Column:
+        low, high = F.col(f"lo_{name}"), F.col(f"hi_{name}")
+        across = high * since(F.col("hi_block")) + (F.col(f"all_{name}") - low) * since(F.col("lo_block"))
+        return F.when(F.col("lo_block") == F.col("hi_block"), (high - low) * since(F.col("hi_block"))).otherwise(across)
+
+    return spans.select(
+        "conversion_id", "conversion_value_eur", *lane, *[decayed(name).alias(name) for name in sums]
+    )
+
+
+def decay_totals(axis: DataFrame, window_days: int, half_life_days: float) -> DataFrame:
+    """`(conversion_id, total)`: what the credits of a conversion's touches are divided by."""
+    totals = _decay_sums(axis, window_days, half_life_days, ["unified_user_id"], {"total": F.lit(True)})
+    return totals.select("conversion_id", "total")
+
+
 def time_decay(
-    touches: DataFrame, convs: DataFrame, window_days: int, half_life_days: float
+    touches: DataFrame, convs: DataFrame, axis: DataFrame, window_days: int, half_life_days: float
 ) -> DataFrame:
     """Credit halving with every `half_life_days` between touch and conversion.
 
-    The normalising sum per conversion is taken first, combined where the pairs
-    arise, and travels back on the conversion; pairs are never shuffled.
+    The normalising sum comes from the axis, so touches meet conversions once.
     """
     before = (F.col("touchpoint_ts") < F.col("conversion_ts")) & (
         F.col("_conv_day") - F.col("_day") <= window_days
     )
     age = seconds_between(F.col("touchpoint_ts"), F.col("conversion_ts")) / F.lit(86400.0)
-    raw = F.pow(F.lit(2.0), -age / F.lit(half_life_days))
-
-    totals = (
-        in_window_pairs(touches, convs, window_days, before)
-        .groupBy("conversion_id")
-        .agg(F.sum(raw).alias("total"))
-    )
+    totals = decay_totals(axis, window_days, half_life_days)
     weighed = in_window_pairs(touches, convs.join(totals, "conversion_id"), window_days, before)
-    weight = raw / F.col("total")
+    weight = F.pow(F.lit(2.0), -age / F.lit(half_life_days)) / F.col("total")
     return weighed.select(
         "conversion_id",
         "conversion_value_eur",
@@ -365,3 +430,42 @@ def time_decay(
         weight.alias("weight"),
         (F.col("conversion_value_eur") * weight).alias("revenue_share_eur"),
     )
+
+
+def time_decay_channels(axis: DataFrame, window_days: int, half_life_days: float) -> DataFrame:
+    """Decayed credit per (conversion, channel): touches and conversions never meet in pairs."""
+    listed = {"total": F.lit(True)} | {
+        name: F.coalesce(F.col("channel_key") == key, F.lit(False)) for name, key in zip(_COUNTS, CHANNEL_KEYS)
+    }
+    sums = _decay_sums(axis, window_days, half_life_days, ["unified_user_id"], listed)
+    per_channel = F.explode(
+        F.array(
+            *[F.struct(F.lit(key).alias("channel_key"), F.col(c).alias("mass")) for key, c in zip(CHANNEL_KEYS, _COUNTS)]
+        )
+    )
+    # A difference of prefix sums leaves a trace where a channel has no touch; the exact counts say where.
+    has = conversion_spans(axis).select("conversion_id", F.array(*_COUNTS).alias("counts"))
+    place = {key: i for i, key in enumerate(CHANNEL_KEYS)}
+    index = F.coalesce(*[F.when(F.col("c.channel_key") == key, F.lit(i)) for key, i in place.items()])
+    rows = (
+        sums.join(has, "conversion_id")
+        .select("conversion_id", "conversion_value_eur", "total", "counts", per_channel.alias("c"))
+        .where(F.get("counts", index) > 0)
+        .select("conversion_id", "conversion_value_eur", "total", "c.channel_key", "c.mass")
+    )
+    lanes = _lanes(axis)
+    other = _decay_sums(lanes, window_days, half_life_days, ["unified_user_id", "lane_channel"], {"mass": F.lit(True)})
+    counts = unlisted_counts(axis).select(F.col("conversion_id").alias("of"), F.col("channel_key").alias("named"))
+    unlisted = (
+        other.withColumn("channel_key", F.get_json_object("lane_channel", "$.channel_key"))
+        .join(counts, (F.col("conversion_id") == F.col("of")) & F.col("channel_key").eqNullSafe(F.col("named")), "left_semi")
+        .join(sums.select("conversion_id", "total"), "conversion_id")
+        .select("conversion_id", "conversion_value_eur", "total", "channel_key", "mass")
+    )
+    weight = F.col("mass") / F.col("total")
+    return rows.unionByName(unlisted).select(
+        "conversion_id",
+        "channel_key",
+        weight.alias("weight"),
+        (F.col("conversion_value_eur") * weight).alias("revenue_time_decay"),
+    )

@@ -361,9 +361,12 @@ QUERIES: dict[str, Query] = {
     "fct_touchpoints": _model("fct_touchpoints"),
     # attribution
     "attribution_ranked": _model("attribution_ranked"),
-    **{f"attribution_{m}": _one_model(m) for m in MODELS},
+    "attribution_first_touch": _model("attribution_first_touch", 6),
+    "attribution_last_touch": _model("attribution_last_touch", 6),
+    **{f"attribution_{m}": _one_model(m) for m in MODELS if m not in ("first_touch", "last_touch")},
     "touchpoints_attribution": _model("touchpoints_attribution", 6),
     "attribution_time_decay": _model("attribution_time_decay", 4),
+    "attribution_time_decay_channels": _model("attribution_time_decay_channels", 4),
     "attribution_pivot": _model("attribution_pivot", 6),
     "fct_conversions": _model("fct_conversions", 6),
     "attribution_reconcile": lambda w: rounded(

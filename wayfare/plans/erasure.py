@@ -19,7 +19,7 @@ from wayfare.sources.published import publish, read_published
 
 PERSONAL = ["fct_touchpoints", "fct_sessions", "fct_conversions", "dim_users"]
 # Stored on the way to the marts, with a person in every row.
-STORED = ["identity_graph", "all_touches", "conversions", "touch_axis", "session_summary"]
+STORED = ["identity_graph", "all_touches", "conversions", "touch_axis", "conversion_channels", "session_summary"]
 
 
 def _version(root: str, number: int) -> str:

@@ -2,8 +2,8 @@
 
 `build(name)` is the lazy plan of a model over bronze and the stored tables;
 `table(name)` is the same model written once under this warehouse's folder and
-read back. Edges, graph, touches, conversions, the touch axis and the session
-summary are taken from storage, since several models read each of them;
+read back. Edges, graph, touches, conversions, the touch axis, the channels of a
+conversion and the session summary are taken from storage, since several models read each of them;
 everything else is inlined, and Catalyst prunes what a query does not use.
 """
 
@@ -37,6 +37,7 @@ BUILD_ORDER = [
     ["identity_graph"],
     ["all_touches", "conversions", "session_summary", "dim_users"],
     ["touch_axis", "fct_touchpoints", "fct_sessions", "fct_funnel_steps"],
+    ["conversion_channels"],
     ["fct_conversions"],
 ]
 
@@ -165,10 +166,17 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "attribution_time_decay": lambda w: attribution.time_decay(
         w.table("all_touches"),
         w.table("conversions"),
+        w.table("touch_axis"),
         w.params.attribution_window_days,
         w.params.half_life_days,
     ),
-    "attribution_pivot": lambda w: attribution.attribution_pivot(w.table("touch_axis")),
+    "attribution_time_decay_channels": lambda w: attribution.time_decay_channels(
+        w.table("touch_axis"), w.params.attribution_window_days, w.params.half_life_days
+    ),
+    "attribution_first_touch": lambda w: attribution.end_touch(w.table("touch_axis"), "first_touch"),
+    "attribution_last_touch": lambda w: attribution.end_touch(w.table("touch_axis"), "last_touch"),
+    "conversion_channels": lambda w: attribution.conversion_channels(w.table("touch_axis")),
+    "attribution_pivot": lambda w: attribution.pivot_channels(w.table("conversion_channels")),
     "fct_conversions": lambda w: attribution.conversion_facts(
         touchpoints.with_buyer(w.build("stg_shopify_orders"), w.table("identity_graph"), "left"),
         w.build("attribution_pivot"),
