@@ -213,23 +213,23 @@ SELECT unified_user_id, max(CASE WHEN c.consent_status = 'granted' THEN c.email_
  coalesce(min(c.created_at), {AS_OF}) AS valid_from, TIMESTAMP '9999-12-31 00:00:00' AS valid_to, TRUE AS is_current
 FROM graph g LEFT JOIN stg_customers c ON g.raw_id = 'shopify_customer:' || c.shopify_customer_id GROUP BY 1"""
 
-MODELS["daily_state"] = """
-SELECT g.unified_user_id, CAST(d.consent_updated_at AS DATE) AS day, d.consent_status,
+MODELS["instant_state"] = """
+SELECT g.unified_user_id, d.consent_updated_at AS since, d.consent_status,
  CASE WHEN d.consent_status = 'granted' THEN d.email_hash END AS email_hash
 FROM stg_deliveries d JOIN graph g ON g.raw_id = 'shopify_customer:' || d.shopify_customer_id
-QUALIFY row_number() OVER (PARTITION BY g.unified_user_id, CAST(d.consent_updated_at AS DATE)
- ORDER BY d.consent_updated_at DESC, d.created_at DESC, d.consent_status DESC, email_hash DESC NULLS LAST) = 1"""
+WHERE d.consent_updated_at IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY g.unified_user_id, d.consent_updated_at
+ ORDER BY d.created_at DESC NULLS LAST, d.consent_status DESC, email_hash DESC NULLS LAST) = 1"""
 
 MODELS["state_changes"] = """
 SELECT * FROM (SELECT *, row_number() OVER w AS rn, lag(email_hash) OVER w AS was_hash, lag(consent_status) OVER w AS was_consent
- FROM daily_state WINDOW w AS (PARTITION BY unified_user_id ORDER BY day))
+ FROM instant_state WINDOW w AS (PARTITION BY unified_user_id ORDER BY since))
 WHERE rn = 1 OR was_hash IS DISTINCT FROM email_hash OR was_consent IS DISTINCT FROM consent_status"""
 
 MODELS["user_history"] = """
-SELECT unified_user_id, email_hash, consent_status, CAST(day AS TIMESTAMP) AS valid_from,
- coalesce(CAST(lead(day) OVER w AS TIMESTAMP), TIMESTAMP '9999-12-31 00:00:00') AS valid_to,
- lead(day) OVER w IS NULL AS is_current
-FROM state_changes WINDOW w AS (PARTITION BY unified_user_id ORDER BY day)"""
+SELECT unified_user_id, email_hash, consent_status, since AS valid_from,
+ coalesce(lead(since) OVER w, TIMESTAMP '9999-12-31 00:00:00') AS valid_to, lead(since) OVER w IS NULL AS is_current
+FROM state_changes WINDOW w AS (PARTITION BY unified_user_id ORDER BY since)"""
 
 MODELS["calendar"] = """
 SELECT CAST(d AS DATE) AS date_day FROM (SELECT unnest(generate_series(

@@ -1,4 +1,5 @@
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 from wayfare.operators import dimensions
 
@@ -58,9 +59,10 @@ def history(spark):
 def test_versions_open_and_close_on_change(spark):
     rows = history(spark).orderBy("valid_from").collect()
     assert [(r.email_hash, r.consent_status, r.valid_from, r.valid_to, r.is_current) for r in rows] == [
-        ("old", "granted", datetime(2024, 1, 10), datetime(2024, 3, 1), False),
-        ("new", "granted", datetime(2024, 3, 1), datetime(2024, 4, 1), False),
-        (None, "anonymous", datetime(2024, 4, 1), datetime(9999, 12, 31), True),
+        ("old", "granted", datetime(2024, 1, 10, 8), datetime(2024, 3, 1, 8), False),
+        ("mid", "granted", datetime(2024, 3, 1, 8), datetime(2024, 3, 1, 9), False),
+        ("new", "granted", datetime(2024, 3, 1, 9), datetime(2024, 4, 1, 9), False),
+        (None, "anonymous", datetime(2024, 4, 1, 9), datetime(9999, 12, 31), True),
     ]
 
 
@@ -68,9 +70,12 @@ def test_facts_meet_the_version_of_their_time(spark):
     facts = spark.createDataFrame(
         [
             ("before", datetime(2024, 1, 9, 23, 59), "u"),
-            ("first_day", datetime(2024, 1, 10), "u"),
+            ("same_day_before", datetime(2024, 1, 10, 7, 59), "u"),
+            ("first_instant", datetime(2024, 1, 10, 8), "u"),
             ("last_day", datetime(2024, 2, 29, 23, 59), "u"),
-            ("boundary", datetime(2024, 3, 1), "u"),
+            ("between", datetime(2024, 3, 1, 8, 30), "u"),
+            ("boundary", datetime(2024, 3, 1, 9), "u"),
+            ("withdrawn_later_that_day", datetime(2024, 4, 1, 8, 59), "u"),
             ("now", datetime(2024, 5, 1), "u"),
             ("unknown", datetime(2024, 5, 1), "zz"),
             ("nobody", datetime(2024, 5, 1), None),
@@ -80,15 +85,44 @@ def test_facts_meet_the_version_of_their_time(spark):
     got = {r.conversion_id: (r.email_hash, r.consent_status) for r in dimensions.facts_asof_user(facts, history(spark)).collect()}
     assert got == {
         "before": (None, None),
-        "first_day": ("old", "granted"),
+        "same_day_before": (None, None),
+        "first_instant": ("old", "granted"),
         "last_day": ("old", "granted"),
+        "between": ("mid", "granted"),
         "boundary": ("new", "granted"),
+        "withdrawn_later_that_day": ("new", "granted"),
         "now": (None, "anonymous"),
         "unknown": (None, None),
         "nobody": (None, None),
     }
 
 
+def test_history_against_brute_force(spark):
+    """Many versions and facts a day, several persons, values that come back."""
+    rng = random.Random(2)
+    start = datetime(2024, 1, 1)
+    when = lambda: start + timedelta(minutes=rng.randrange(6 * 1440))
+    rows = [(1, rng.choice(["a", "b"]), "BE", start, when(), rng.choice(["granted", "anonymous"])) for _ in range(300)]
+    facts = [(f"f{i}", when(), "u") for i in range(400)]
+    states = {}
+    for r in rows:
+        key = (r[5], r[1] if r[5] == "granted" else None)
+        states[r[4]] = max(states.get(r[4], key), key, key=lambda x: (x[0], x[1] or ""))
+    versions, last = [], None
+    for at, state in sorted(states.items()):
+        if state != last:
+            versions.append((at, state))
+            last = state
+    history = dimensions.dim_users_scd2(graph(spark), spark.createDataFrame(rows, CUSTOMERS))
+    got = [(r.valid_from, (r.consent_status, r.email_hash), r.valid_to) for r in history.orderBy("valid_from").collect()]
+    ends = [at for at, _ in versions[1:]] + [datetime(9999, 12, 31)]
+    assert got == [(at, state, end) for (at, state), end in zip(versions, ends)]
+    frame = spark.createDataFrame(facts, "conversion_id string, conversion_ts timestamp_ntz, unified_user_id string")
+    found = {r.conversion_id: (r.consent_status, r.email_hash) for r in dimensions.facts_asof_user(frame, history).collect()}
+    for name, at, _ in facts:
+        assert found[name] == next((s for v, s in reversed(versions) if v <= at), (None, None))
+
+
 def test_channels_from_a_seed_file(spark, tmp_path):
     built_in = dimensions.dim_channels(spark)
     assert built_in.count() == 9

@@ -69,3 +69,57 @@ def running_sums(
         *df.columns,
         *[(F.col(f"_in_{n}") + F.col(f"_off_{n}")).alias(n) for n in measures],
     )
+
+
+def neighbour(df: DataFrame, key: str, ts: str, value: Column, name: str, ahead: bool = False) -> DataFrame:
+    """`df` with the `value` of the row before it (or `ahead` of it) in time, as a struct column; NULL at the end.
+
+    (key, ts) must be unique and not NULL. Rows of a day are ordered among
+    themselves; the row beyond comes from the nearest other day of the key, so
+    the window over a whole key sees one row a day.
+    """
+    held = df.select("*", F.struct(value.alias("value")).alias("_held"), F.col(ts).cast("date").alias("_day"))
+
+    def ordered(by: str) -> list[Column]:
+        return [F.col(by).desc() if ahead else F.col(by).asc()]
+
+    near = F.lag("_held").over(Window.partitionBy(key, "_day").orderBy(*ordered(ts)))
+    edge = (F.min_by if ahead else F.max_by)("_held", ts)
+    days = (
+        df.select(key, ts, F.struct(value.alias("value")).alias("_held"), F.col(ts).cast("date").alias("_day"))
+        .groupBy(key, "_day")
+        .agg(edge.alias("_edge"))
+        .select(key, "_day", F.lag("_edge").over(Window.partitionBy(key).orderBy(*ordered("_day"))).alias("_far"))
+    )
+    return (
+        held.withColumn("_near", near)
+        .join(days, [key, "_day"])
+        .withColumn(name, F.coalesce("_near", "_far"))
+        .drop("_held", "_day", "_near", "_far")
+    )
+
+
+def as_of(asked: DataFrame, known: DataFrame, key: str, ts: str, value: str) -> DataFrame:
+    """Distinct `asked(key, ts)` with the `value` of the last `known(key, ts, value)` at or before them, else NULL.
+
+    Both lie on one axis. The last value is carried forward inside a day, and
+    from day to day on a grid of (key, day); no row meets more than one other.
+    """
+    points = (
+        known.select(key, ts, F.struct(value).alias("_held"), F.lit(0).alias("_kind"))
+        .unionByName(asked.select(key, ts).distinct().withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+        .withColumn("_day", F.col(ts).cast("date"))
+    )
+    so_far = Window.partitionBy(key, "_day").orderBy(ts, "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = (
+        points.groupBy(key, "_day")
+        .agg(F.max_by("_held", F.when(F.col("_kind") == 0, F.col(ts))).alias("_edge"))
+        .select(key, "_day", F.last("_edge", ignorenulls=True).over(before).alias("_far"))
+    )
+    return (
+        points.withColumn("_near", F.last("_held", ignorenulls=True).over(so_far))
+        .where("_kind = 1")
+        .join(days, [key, "_day"])
+        .select(key, ts, F.coalesce("_near", "_far").getField(value).alias(value))
+    )

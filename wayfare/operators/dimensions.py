@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.functions.timeutil import day_start, ntz
+from wayfare.functions.grid import as_of as last_before
+from wayfare.functions.grid import neighbour
+from wayfare.functions.timeutil import ntz
 from wayfare.operators.identity import people
 from wayfare.params import ANONYMOUS, CHANNELS, CUSTOMER, GRANTED
 
@@ -83,71 +85,52 @@ def dim_users(graph: DataFrame, customers: DataFrame, as_of: datetime) -> DataFr
 
 
 def dim_users_scd2(graph: DataFrame, versions: DataFrame) -> DataFrame:
-    """Versions of a person, one per day on which hash or consent changed.
+    """Versions of a person, each valid from the instant at which hash or consent changed.
 
-    Deliveries are first reduced to the last state of each day, so the window
-    per person sees at most one row a day however often a record is redelivered.
+    Deliveries are first reduced to the last state of each instant, however often
+    a record is redelivered; a delivery without an update time has no place in
+    the history and is left out.
     """
-    state = F.struct("consent_updated_at", "created_at", "consent_status", "email_hash")
-    daily = (
+    state = F.struct("created_at", "consent_status", "email_hash")
+    states = (
         _person_attributes(versions, graph)
-        .groupBy("unified_user_id", F.col("consent_updated_at").cast("date").alias("day"))
+        .where(F.col("consent_updated_at").isNotNull())
+        .groupBy("unified_user_id", F.col("consent_updated_at").alias("valid_from"))
         .agg(F.max(state).alias("s"))
-        .select("unified_user_id", "day", "s.email_hash", "s.consent_status")
+        .select("unified_user_id", "valid_from", "s.email_hash", "s.consent_status")
     )
-    by_day = Window.partitionBy("unified_user_id").orderBy("day")
     current = F.struct("email_hash", "consent_status")
-    changed = ~current.eqNullSafe(F.lag(current).over(by_day))
-    versions_only = daily.withColumn("changed", changed).where("changed")
-    until = F.lead("day").over(by_day)
-    return versions_only.select(
+    before = neighbour(states, "unified_user_id", "valid_from", current, "before")
+    changed = before.where(F.col("before").isNull() | ~F.col("before.value").eqNullSafe(current)).drop("before")
+    until = F.col("until.value")
+    return neighbour(changed, "unified_user_id", "valid_from", F.col("valid_from"), "until", ahead=True).select(
         "unified_user_id",
         "email_hash",
         "consent_status",
-        day_start(F.col("day")).alias("valid_from"),
-        F.coalesce(day_start(until), F.lit(OPEN_END).cast("timestamp_ntz")).alias("valid_to"),
+        "valid_from",
+        F.coalesce(until, F.lit(OPEN_END).cast("timestamp_ntz")).alias("valid_to"),
         until.isNull().alias("is_current"),
     )
 
 
 def facts_asof_user(facts: DataFrame, history: DataFrame) -> DataFrame:
-    """Facts with the person's version valid at the fact's time; NULL before the first.
+    """Facts with the person's version valid at the fact's instant; NULL before the first.
 
-    Versions start at midnight, so the answer is one per (person, day). It is
-    found on that grid by carrying the last version forward, and facts look it
-    up by an equi-join: no fact meets more than one version.
+    The distinct instants asked for are found on one axis with the versions,
+    and facts take the answer by an equi-join: no fact meets more than one.
     """
-    starts = history.select(
+    known = history.select(
         "unified_user_id",
-        F.col("valid_from").cast("date").alias("day"),
+        F.col("valid_from").alias("conversion_ts"),
         F.struct("email_hash", "consent_status", "valid_from").alias("version"),
     )
-    asked = (
-        facts.select("unified_user_id", F.col("conversion_ts").cast("date").alias("day"))
-        .distinct()
-        .where(F.col("unified_user_id").isNotNull())
-    )
-    carried = F.last("version", ignorenulls=True).over(
-        Window.partitionBy("unified_user_id")
-        .orderBy("day", F.col("asked"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    answers = (
-        starts.withColumn("asked", F.lit(False))
-        .unionByName(asked.withColumn("asked", F.lit(True)), allowMissingColumns=True)
-        .withColumn("version", carried)
-        .where("asked")
-        .select("unified_user_id", "day", "version")
-    )
-    return (
-        facts.withColumn("day", F.col("conversion_ts").cast("date"))
-        .join(answers, ["unified_user_id", "day"], "left")
-        .select(
-            "conversion_id",
-            "conversion_ts",
-            "unified_user_id",
-            F.col("version.email_hash").alias("email_hash"),
-            F.col("version.consent_status").alias("consent_status"),
-            F.col("version.valid_from").alias("valid_from"),
-        )
+    asked = facts.where(F.col("unified_user_id").isNotNull() & F.col("conversion_ts").isNotNull())
+    answers = last_before(asked, known, "unified_user_id", "conversion_ts", "version")
+    return facts.join(answers, ["unified_user_id", "conversion_ts"], "left").select(
+        "conversion_id",
+        "conversion_ts",
+        "unified_user_id",
+        F.col("version.email_hash").alias("email_hash"),
+        F.col("version.consent_status").alias("consent_status"),
+        F.col("version.valid_from").alias("valid_from"),
     )
