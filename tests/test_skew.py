@@ -5,6 +5,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from wayfare.functions.grid import in_blocks, running_sums
 from wayfare.operators import dimensions, privacy, sessions, touchpoints
 from wayfare.sources import bronze
 from wayfare.sources.schemas import BRONZE
@@ -106,3 +107,19 @@ def test_hot_key_is_split(spark, tiny_skew_limits, case):
     rows, plan = final_plan(case(spark))
     assert rows == N
     assert "skew=true" in plan
+
+
+@pytest.mark.parametrize("spread", [1, 40])
+def test_a_full_minute_is_cut_into_blocks(spark, spread):
+    """A third of all rows in one minute, at one instant or spread over it; windows stay small, sums the same."""
+    rows = ids(spark).select(
+        "k", F.col("pad").alias("id"), (F.col("i") % 5).alias("x"),
+        at(F.when(F.col("k") == "hot", F.col("i") % spread).otherwise(F.col("i") * 50)).alias("ts"),
+    )
+    order, measures = ["ts", "id"], {"n": F.lit(1), "total": F.col("x")}
+    plain = running_sums(rows, "k", "ts", order, measures, full=N)
+    cut = running_sums(rows, "k", "ts", order, measures, full=200)
+    assert sorted(cut.collect()) == sorted(plain.collect())
+    hot = in_blocks(rows.withColumn("_slot", F.minute("ts")), "k", order, 200).where("k = 'hot'")
+    sizes = [r["count"] for r in hot.groupBy("_slot", "_block").count().collect()]
+    assert sum(sizes) == N // 3 and max(sizes) <= 4 * 200

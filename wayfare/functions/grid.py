@@ -6,7 +6,8 @@ rows are first pre-aggregated to (key, minute), which map-side combining makes
 small and which calendar time bounds (about half a million minutes a year,
 whatever the row count); the only window over a whole key runs on that grid.
 The result goes back to the rows by an equi-join on (key, minute), which
-spreads a hot key over its minutes and which adaptive execution can split.
+spreads a hot key over its minutes and which adaptive execution can split. A
+minute that is itself too full is cut into blocks of rows, a second level.
 """
 
 from __future__ import annotations
@@ -17,6 +18,40 @@ from pyspark.sql import functions as F
 from wayfare.functions.timeutil import minute_number
 
 
+# Rows of a key in one minute above which the minute is cut into blocks of about so many.
+FULL_MINUTE = 100_000
+# Rows drawn, by their hash, for each block.
+_DRAWN = 8
+
+
+def in_blocks(rows: DataFrame, key: str, order_by: list[str], full: int = FULL_MINUTE) -> DataFrame:
+    """`rows` of (key, _slot) with `_block`: 0, or in a full minute the number of the block in order.
+
+    A few rows of every full minute, chosen by their hash, are its splitters; a
+    row's block is the number of splitters at or before it. Blocks hold about
+    `full` rows, also where all rows of the minute have the same time.
+    """
+    sizes = rows.groupBy(key, "_slot").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > full)
+    if sizes.isEmpty():
+        return rows.withColumn("_block", F.lit(0))
+    order = F.struct(*order_by)
+    drawn = rows.where(F.pmod(F.xxhash64(*order_by), F.lit(max(1, full // _DRAWN))) == 0)
+    splits = (
+        drawn.join(sizes, [key, "_slot"], "left_semi")
+        .groupBy(key, "_slot")
+        .agg(F.array_sort(F.collect_list(order)).alias("_drawn"))
+        .select(key, "_slot", F.filter("_drawn", lambda x, i: i % _DRAWN == _DRAWN - 1).alias("_splits"))
+    )
+    block = F.size(F.filter("_splits", lambda x: x <= order))
+    return (
+        rows.join(splits, [key, "_slot"], "left")
+        .withColumn("_block", F.when(F.col("_splits").isNull(), 0).otherwise(block))
+        .drop("_splits")
+        # On (key, minute) alone all blocks of a minute would stay in one task.
+        .repartition(key, "_slot", "_block")
+    )
+
+
 def running_sums(
     df: DataFrame,
     key: str,
@@ -24,48 +59,55 @@ def running_sums(
     order_by: list[str],
     measures: dict[str, Column],
     kind: str = "long",
+    full: int = FULL_MINUTE,
 ) -> DataFrame:
     """`sum(measure) over (partition by key order by order_by rows to current)` per measure, as `kind`.
 
     `order_by` starts with `ts` and must be a total order. Rows with a NULL
-    key or time have no place on the grid and are left out.
+    key or time have no place on the grid and are left out. A minute with more
+    than `full` rows of a key is cut into blocks, which are scanned one by one
+    and take their place on the grid behind the minute.
     """
     known = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    rows = known.select(
-        "*",
-        minute_number(F.col(ts)).alias("_slot"),
-        *[m.cast(kind).alias(f"_one_{name}") for name, m in measures.items()],
+    rows = in_blocks(
+        known.select(
+            "*",
+            minute_number(F.col(ts)).alias("_slot"),
+            *[m.cast(kind).alias(f"_one_{name}") for name, m in measures.items()],
+        ),
+        key,
+        order_by,
+        full,
     )
 
+    cell = [key, "_slot", "_block"]
     inside = (
-        Window.partitionBy(key, "_slot")
-        .orderBy(*order_by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*cell).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = rows.select(
         *df.columns,
         "_slot",
+        "_block",
         *[F.sum(f"_one_{n}").over(inside).alias(f"_in_{n}") for n in measures],
     )
 
     before = (
         Window.partitionBy(key)
-        .orderBy("_slot")
+        .orderBy("_slot", "_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        rows.groupBy(key, "_slot")
+        rows.groupBy(*cell)
         .agg(*[F.sum(f"_one_{n}").alias(f"_sum_{n}") for n in measures])
         .select(
-            key,
-            "_slot",
+            *cell,
             *[
                 F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0).cast(kind)).alias(f"_off_{n}")
                 for n in measures
             ],
         )
     )
-    return local.join(offsets, [key, "_slot"]).select(
+    return local.join(offsets, cell).select(
         *df.columns,
         *[(F.col(f"_in_{n}") + F.col(f"_off_{n}")).alias(n) for n in measures],
     )
