@@ -223,6 +223,37 @@ UNION ALL SELECT 'email', CAST(CAST(event_ts AS TIMESTAMP) AS DATE), count(*) FR
   WHERE event_name = 'campaign.unsubscribed' GROUP BY 1) u WHERE u.subscriber_id = e.subscriber_id AND u.d < DATE '2024-03-16') GROUP BY 2""",
     "publish_roundtrip": "SELECT * FROM sess",
     "json_pages_to_bronze": "SELECT order_id, customer_id, email, created_at, total_price_eur, currency, consent_status FROM shopify_orders",
+    "retention_purge_email": """
+SELECT *, CAST(CAST(event_ts AS TIMESTAMP) AS DATE) AS dt FROM email_events e
+ WHERE NOT EXISTS (SELECT 1 FROM (SELECT subscriber_id, max(CAST(CAST(event_ts AS TIMESTAMP) AS DATE)) AS d FROM email_events
+  WHERE event_name = 'campaign.unsubscribed' GROUP BY 1) u WHERE u.subscriber_id = e.subscriber_id AND u.d < DATE '2024-03-16')""",
+    "ad_insights_to_bronze": """
+SELECT concat_ws('/', CAST(CAST(event_ts AS DATE) AS VARCHAR), campaign, source) AS ad_id, campaign AS campaign_name,
+ count(*) AS impressions, CASE WHEN source IS DISTINCT FROM 'google' THEN count(*) END AS clicks,
+ count(value_eur) + CAST(0.5 AS DOUBLE) AS spend, CAST(count(*) AS VARCHAR) AS viewed,
+ CASE WHEN source = 'google' THEN 'n/a' END AS rescued_clicks, source AS rescued_publisher, 1 AS bad_pages
+FROM ga4_events GROUP BY CAST(event_ts AS DATE), campaign, source""",
+    "web_report_to_bronze": """
+SELECT event_name, device_category, country, source, medium, campaign, page_location, strftime(event_ts, '%Y%m%d') AS event_date,
+ count(*) AS event_count, count(DISTINCT ga_session_id) AS sessions,
+ CASE WHEN source IS DISTINCT FROM 'google' THEN count(DISTINCT ga_client_id) END AS total_users,
+ CASE WHEN source = 'google' THEN '(hidden)' END AS rescued_users, 1 AS bad_pages
+FROM ga4_events GROUP BY event_name, device_category, country, source, medium, campaign, page_location, strftime(event_ts, '%Y%m%d')""",
+    "publish_silver": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, CAST(CAST({at} AS DATE) AS VARCHAR) AS silver_day, count(*) AS rows, {value} AS value_eur FROM {table} GROUP BY CAST({at} AS DATE)"
+        for name, table, at, value in (
+            ("stg_ga4_events", "stg_web", "event_ts", fixed("sum(value_eur + CASE WHEN CAST(event_ts AS DATE) = DATE '2024-01-10' THEN 1 ELSE 0 END)", 2)),
+            ("stg_meta_pixel_events", "stg_pixel", "event_ts", fixed("sum(value_eur)", 2)),
+            ("stg_email_events", "stg_email", "event_ts", "CAST(NULL AS DOUBLE)"),
+            ("stg_shopify_orders", "stg_orders", "order_ts", "CAST(NULL AS DOUBLE)"),
+            ("stg_shopify_customers", "stg_customers", "created_at", "CAST(NULL AS DOUBLE)"),
+        )
+    ),
+    "audit_append": " UNION ALL ".join(
+        f"SELECT 'staging' AS pipeline, '{raw}' AS step, 'prod' AS environment, 'success' AS status, "
+        f"(SELECT count(*) FROM {raw}) AS rows_in, (SELECT count(*) FROM {stage}) AS rows_out, CAST(NULL AS VARCHAR) AS error"
+        for raw, stage in (("ga4_events", "stg_web"), ("meta_pixel_events", "stg_pixel"), ("email_events", "stg_email"))
+    ),
     # staging
     "consent_filter": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, consent_status, count(*) AS rows_kept FROM {t} WHERE consent_status <> 'withdrawn' GROUP BY 2"
@@ -441,6 +472,7 @@ AS_TEXT = {
     "stream_ingest": ["dt"],
     "fct_conversions_redelivered": ["conversion_date"],
     "retention_purge": ["dt"],
+    "retention_purge_email": ["dt"],
     "fct_touchpoints": ["touchpoint_date"],
     "fct_conversions": ["conversion_date"],
     "dim_dates": ["date_day"],

@@ -1,3 +1,4 @@
+import glob
 import json
 import os
 from datetime import date, datetime
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.params import Params
+from wayfare.plans import silver
 from wayfare.plans.warehouse import MODELLED, Warehouse
 from wayfare.session import shared_dir
 from wayfare.sources import audit, bronze, landed
@@ -188,3 +190,75 @@ def test_audit_rows_are_appended(spark, tmp_path):
     audit.append_runs(runs.withColumn("run_id", F.lit("r2")), str(tmp_path))
     rows = audit.read_runs(spark, str(tmp_path)).collect()
     assert sorted(r.run_id for r in rows) == ["r1", "r2"] and rows[0].extra is None
+
+
+def test_a_step_records_its_rows_and_its_failure(spark, tmp_path):
+    root = str(tmp_path)
+    source = spark.range(50).withColumn("x", F.col("id") % 5)
+    audit.run_step(source, lambda df: df.where("x = 0"), lambda df: df.write.parquet(f"{root}/kept"), root, "p", "filter")
+    with pytest.raises(RuntimeError):
+        audit.run_step(source, lambda df: df, lambda df: (_ for _ in ()).throw(RuntimeError("disk full")), root, "p", "broken", "dev")
+    good, bad = audit.read_runs(spark, root).orderBy(F.col("step").desc()).collect()
+    assert (good.status, good.rows_in, good.rows_out, good.error) == ("success", 50, 10, None)
+    assert good.rows_out == spark.read.parquet(f"{root}/kept").count() and good.duration_ms >= 0
+    assert (bad.step, bad.status, bad.rows_in, bad.error, bad.environment) == ("broken", "failed", None, "disk full", "dev")
+
+
+def files_of(path):
+    return {p: os.path.getmtime(p) for p in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+def test_email_purge_rewrites_only_days_that_hold_the_person(spark, tmp_path):
+    root, path = str(tmp_path), f"{tmp_path}/email/events"
+    rows = [
+        (f"{who}{day}", name, f"2020-01-0{day} 10:00:00", "c", who, "h", None, "granted")
+        for who, name, day in [("gone", "campaign.unsubscribed", 1), ("gone", "campaign.sent", 2), ("here", "campaign.sent", 2), ("here", "campaign.sent", 3)]
+    ]
+    events = spark.createDataFrame(rows, EMAIL).withColumn("dt", F.col("event_ts").cast("timestamp_ntz").cast("date"))
+    bronze.write_deliveries(events, root, "email", "events")
+    before = files_of(path)
+    assert bronze.purge_email(spark, root, date(2022, 1, 1)) == [] and files_of(path) == before
+    assert bronze.purge_email(spark, root, date(2024, 1, 1)) == [date(2020, 1, 1), date(2020, 1, 2)]
+    left = bronze.read_bronze(spark, root, "email_events").collect()
+    assert sorted(r.event_id for r in left) == ["here2", "here3"]
+    assert not os.path.exists(f"{path}/dt=2020-01-01")
+    untouched = {p: t for p, t in before.items() if "dt=2020-01-03" in p}
+    assert untouched and untouched.items() <= files_of(path).items()
+    assert bronze.purge_email(spark, root, date(2024, 1, 1)) == []
+
+
+def test_silver_refresh_writes_the_touched_day_only(spark, tmp_path):
+    root = str(tmp_path)
+    frames = load_bronze(spark, "/root/testdata/sf0.001")
+    w = Warehouse(spark, frames, Params(as_of=datetime(2024, 3, 5)))
+    silver.publish_silver(w, root)
+    before = files_of(f"{root}/stg_ga4_events")
+    extra = frames["ga4_events"].where("cast(event_ts as date) = date'2024-01-05'").withColumn("event_id", F.concat(F.lit("again"), "event_id"))
+    later = Warehouse(spark, frames | {"ga4_events": frames["ga4_events"].unionByName(extra)}, w.params)
+    touched = extra.select(F.col("event_ts").cast("date").alias(silver.DAY))
+    silver.refresh_silver(later, root, "stg_ga4_events", touched)
+    after = files_of(f"{root}/stg_ga4_events")
+    same = {p for p in before if after.get(p) == before[p]}
+    assert {p for p in before if p not in same} == {p for p in before if "silver_day=2024-01-05" in p}
+    stored = silver.read_silver(spark, root, "stg_ga4_events").drop(silver.DAY)
+    want = later.build("stg_ga4_events")
+    assert stored.select(*want.columns).exceptAll(want).isEmpty() and stored.count() == want.count()
+
+
+def test_what_does_not_fit_is_rescued(spark, tmp_path):
+    pages = [
+        '{"data": [{"ad_id": "1", "impressions": "7", "clicks": "x", "new": "y"}, {"ad_id": "2", "spend": "1.5"}]}',
+        '{"data": [{"ad_id": "3', "[]",
+    ]
+    spark.createDataFrame([(p,) for p in pages], "value string").coalesce(1).write.text(f"{tmp_path}/ads")
+    records = landed.read_raw_records(spark, f"{tmp_path}/ads", "data", multiline=False)
+    got = {r.ad_id: r for r in landed.ad_insights_rescued(records).collect()}
+    assert got.keys() == {"1", "2"} and got["2"].rescued is None and got["2"].spend == 1.5
+    assert (got["1"].impressions, got["1"].clicks, got["1"].rescued) == (7, None, {"clicks": "x", "new": "y"})
+    assert landed.bad_pages(records).agg(F.sum("bad")).first()[0] == 2
+    cell = lambda *v: "[" + ",".join('{"value": "%s"}' % x for x in v) + "]"
+    row = '{"dimension_values": %s, "metric_values": %s}' % (cell(*"abcdefghi"), cell("1", "many", "3", "4"))
+    spark.createDataFrame([('{"rows": [%s]}' % row,)], "value string").write.text(f"{tmp_path}/web")
+    (r,) = landed.web_report_rescued(landed.read_raw_records(spark, f"{tmp_path}/web", "rows", multiline=False)).collect()
+    assert (r.event_name, r.event_date, r.event_count, r.sessions, r.total_users) == ("a", "h", 1, None, 3)
+    assert r.rescued == {"dimension_8": "i", "metric_1": "many", "metric_3": "4"}

@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.keys import email_hash, fixed, ip_prefix, phone_hash
 from wayfare.operators import attribution, dimensions, privacy, quality, sessions, staging
 from wayfare.params import MODELS, Params
-from wayfare.plans import contracts, erasure, monitoring, reports
+from wayfare.plans import contracts, erasure, monitoring, reports, silver
 from wayfare.plans.warehouse import Warehouse
 from wayfare.session import new_run_dir
 from wayfare.sources import bronze as bronze_io
-from wayfare.sources import landed
+from wayfare.sources import audit, landed
 from wayfare.sources.published import publish, read_published
 from wayfare.sources.testbed import load_bronze
 from wayfare.streaming.ingest import ingest_events, landed_stream
@@ -28,6 +28,7 @@ WINDOW = (date(2024, 1, 1), date(2024, 1, 30))
 LATE_WINDOW = (date(2024, 1, 10), date(2024, 2, 10))
 LOOKBACK = (date(2024, 1, 31), 14)
 PURGE_AS_OF = date(2026, 3, 16)
+SECOND_DELIVERY = date(2024, 1, 10)
 LONG_TIMEOUT = 720
 STREAMED = ["event_id", "event_name", "event_ts", "ga_client_id"]
 
@@ -140,6 +141,123 @@ def json_pages_to_bronze(w: Warehouse) -> DataFrame:
     return landed.read_pages(w.spark, path, "orders", _ORDER_RECORD, multiline=False)
 
 
+def retention_purge_email(w: Warehouse) -> DataFrame:
+    """E-mail events delivered by day, purged on storage, read back."""
+    root = new_run_dir(w.spark, "bronze")
+    days = w.bronze["email_events"].withColumn("dt", F.col("event_ts").cast("timestamp_ntz").cast("date"))
+    bronze_io.write_deliveries(days, root, "email", "events")
+    bronze_io.purge_email(w.spark, root, PURGE_AS_OF.replace(year=2027))
+    return bronze_io.read_bronze(w.spark, root, "email_events")
+
+
+def publish_silver(w: Warehouse) -> DataFrame:
+    """All staging models stored; then one day of web events comes again, dearer by one, and is refreshed."""
+    root = new_run_dir(w.spark, "silver")
+    silver.publish_silver(w, root)
+    again = F.col("event_ts").cast("date") == F.lit(SECOND_DELIVERY)
+    web = w.bronze["ga4_events"]
+    dearer = web.withColumn("value_eur", F.when(again, F.col("value_eur") + 1.0).otherwise(F.col("value_eur")))
+    later = Warehouse(w.spark, w.bronze | {"ga4_events": dearer}, w.params)
+    touched = web.where(again).select(F.col("event_ts").cast("date").alias(silver.DAY))
+    silver.refresh_silver(later, root, "stg_ga4_events", touched)
+    out = None
+    for name in silver.DAY_OF:
+        stored = silver.read_silver(w.spark, root, name)
+        value = F.sum("value_eur") if "value_eur" in stored.columns else F.lit(None).cast("double")
+        part = stored.groupBy(F.lit(name).alias("table_name"), silver.DAY).agg(
+            F.count(F.lit(1)).alias("rows"), value.alias("value_eur")
+        )
+        out = part if out is None else out.unionByName(part)
+    return rounded(out, 2)
+
+
+_PAGE_TEXT = "{'data': [{'ad_id': "
+
+
+def _paged(rows: DataFrame, record: Column, envelope: str, path: str) -> None:
+    """Records as pages of about a hundred, one page per line, and one line that is no JSON."""
+    pages = (
+        rows.select(F.pmod(F.xxhash64(*rows.columns), F.lit(16)).alias("page"), record.alias("r"))
+        .groupBy("page")
+        .agg(F.collect_list("r").alias(envelope))
+        .select(F.to_json(F.struct(envelope)).alias("value"))
+    )
+    pages.write.mode("append").text(path)
+    rows.sparkSession.createDataFrame([(_PAGE_TEXT,)], "value string").write.mode("append").text(path)
+
+
+def ad_insights_to_bronze(w: Warehouse) -> DataFrame:
+    """Web events counted per day, campaign and source as an ad report, landed as pages, read to bronze.
+
+    Clicks of one source come as text that is no number, and a field is unknown.
+    """
+    path, root = new_run_dir(w.spark, "landing"), new_run_dir(w.spark, "bronze")
+    per_ad = w.bronze["ga4_events"].groupBy(
+        F.col("event_ts").cast("date").cast("string").alias("day"), "campaign", "source"
+    ).agg(F.count(F.lit(1)).alias("n"), F.count("value_eur").alias("paid"))
+    text = F.col("n").cast("string")
+    record = F.struct(
+        F.concat_ws("/", "day", "campaign", "source").alias("ad_id"),
+        F.col("campaign").alias("campaign_name"),
+        text.alias("impressions"),
+        F.when(F.col("source") == "google", F.lit("n/a")).otherwise(text).alias("clicks"),
+        F.concat(F.col("paid").cast("string"), F.lit(".50")).alias("spend"),
+        F.array(F.struct(F.lit("view").alias("action_type"), text.alias("value"))).alias("actions"),
+        F.col("source").alias("publisher"),
+    )
+    _paged(per_ad, record, "data", path)
+    records = landed.read_raw_records(w.spark, path, "data", multiline=False)
+    bronze_io.write_partitioned(landed.ad_insights_rescued(records), root, "meta", "ad_insights", date(2024, 3, 1))
+    stored = bronze_io.read_bronze(w.spark, root, "meta_ad_insights")
+    unread = landed.bad_pages(records).agg(F.sum("bad").alias("bad_pages"))
+    return stored.select(
+        "ad_id", "campaign_name", "impressions", "clicks", "spend",
+        F.get("actions", F.lit(0))["value"].alias("viewed"),
+        F.col("rescued")["clicks"].alias("rescued_clicks"),
+        F.col("rescued")["publisher"].alias("rescued_publisher"),
+        F.lit(unread.first()["bad_pages"]).alias("bad_pages"),
+    )
+
+
+def web_report_to_bronze(w: Warehouse) -> DataFrame:
+    """Web events counted by the report's dimensions, landed as pages of positional values, read to bronze."""
+    path, root = new_run_dir(w.spark, "landing"), new_run_dir(w.spark, "bronze")
+    names = [n for n in landed.WEB_REPORT_DIMENSIONS if n != "event_date"]
+    day = F.date_format("event_ts", "yyyyMMdd").alias("event_date")
+    counted = w.bronze["ga4_events"].groupBy(*names, day).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("ga_session_id").alias("s"), F.count_distinct("ga_client_id").alias("u")
+    )
+    users = F.when(F.col("source") == "google", F.lit("(hidden)")).otherwise(F.col("u").cast("string"))
+
+    def cells(*values: Column) -> Column:
+        return F.array(*[F.struct(v.cast("string").alias("value")) for v in values])
+
+    record = F.struct(
+        cells(*[F.col(n) for n in landed.WEB_REPORT_DIMENSIONS]).alias("dimension_values"),
+        cells(F.col("n"), F.col("s"), users).alias("metric_values"),
+    )
+    _paged(counted, record, "rows", path)
+    records = landed.read_raw_records(w.spark, path, "rows", multiline=False)
+    bronze_io.write_partitioned(landed.web_report_rescued(records), root, "ga4", "report", date(2024, 3, 1))
+    stored = bronze_io.read_bronze(w.spark, root, "ga4_report")
+    bad = landed.bad_pages(records).agg(F.sum("bad").alias("bad_pages")).first()["bad_pages"]
+    found = {"rescued_users": F.col("rescued")["metric_2"], "bad_pages": F.lit(bad)}
+    return stored.withColumns(found).drop("rescued", "dt")
+
+
+def audit_append(w: Warehouse) -> DataFrame:
+    """Three staging steps run under the audit: the rows they recorded."""
+    root = new_run_dir(w.spark, "audited")
+    steps = {
+        "ga4_events": staging.web_events, "meta_pixel_events": staging.pixel_events, "email_events": staging.email_events,
+    }
+    for name, stage in steps.items():
+        audit.run_step(
+            w.bronze[name], stage, lambda df, name=name: df.write.parquet(f"{root}/{name}"), root, "staging", name
+        )
+    return audit.read_runs(w.spark, root).select("pipeline", "step", "environment", "status", "rows_in", "rows_out", "error")
+
+
 def dim_channels(w: Warehouse) -> DataFrame:
     """The channel dimension with the web events staged under each key."""
     used = (
@@ -322,6 +440,11 @@ QUERIES: dict[str, Query] = {
     "retention_purge": retention_purge,
     "publish_roundtrip": publish_roundtrip,
     "json_pages_to_bronze": json_pages_to_bronze,
+    "ad_insights_to_bronze": ad_insights_to_bronze,
+    "web_report_to_bronze": web_report_to_bronze,
+    "retention_purge_email": retention_purge_email,
+    "publish_silver": publish_silver,
+    "audit_append": audit_append,
     # staging
     "consent_filter": consent_filter,
     "stg_ga4_events": _model("stg_ga4_events"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.skew import splittable
 from wayfare.params import RETENTION_MONTHS, UNSUBSCRIBED_MONTHS
+from wayfare.session import delete_path, new_run_dir, store
 from wayfare.sources.schemas import BRONZE, LAYOUT
 
 
@@ -76,6 +77,35 @@ def retained_email(df: DataFrame, as_of: date) -> DataFrame:
     return df.join(left, splittable(F.col("subscriber_id"), F.col("left_id")), "left_anti")
 
 
+def purge_email(spark: SparkSession, root: str, as_of: date) -> list[date]:
+    """Delete on storage what `retained_email` leaves out; returns the days that were written again.
+
+    Only days that hold such an event are rewritten, from a copy of their other
+    rows in the shared folder, so a run that stops half-way is repeated without
+    loss. A day of which nothing is left loses its folder.
+    """
+    name = "email_events"
+    path = table_path(root, *LAYOUT[name])
+    events = read_bronze(spark, root, name)
+    kept = retained_email(events, as_of)
+    sizes = events.groupBy("dt").agg(F.count(F.lit(1)).alias("all_rows"))
+    left = kept.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"))
+    # A row per delivery day, bounded by the calendar.
+    touched = {
+        r.dt: r.rows
+        for r in sizes.join(left, "dt", "left").where("rows is null or rows < all_rows").select("dt", "rows").collect()
+    }
+    if touched:
+        days = [F.lit(d) for d, n in touched.items() if n]
+        if days:
+            copy = store(kept.where(F.col("dt").isin(*days)), new_run_dir(spark, "purged"))
+            write_deliveries(copy, root, *LAYOUT[name])
+        for day, n in touched.items():
+            if not n:
+                delete_path(spark, f"{path}/dt={day.isoformat()}")
+    return sorted(touched)
+
+
 def purge(spark: SparkSession, root: str, as_of: date) -> list[str]:
     """Drop expired day folders of every table with a fixed period; returns the folders.
 

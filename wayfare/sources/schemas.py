@@ -32,6 +32,17 @@ BRONZE = {
         "event_id string, event_name string, event_ts string, campaign_id string, "
         "subscriber_id string, email_hash string, url string, consent_status string"
     ),
+    "meta_ad_insights": (
+        "ad_id string, ad_name string, campaign_id string, campaign_name string, "
+        "adset_id string, adset_name string, impressions bigint, reach bigint, clicks bigint, "
+        "spend double, ctr double, cpc double, actions array<struct<action_type:string,value:string>>, "
+        "rescued map<string,string>"
+    ),
+    "ga4_report": (
+        "event_name string, device_category string, country string, source string, medium string, "
+        "campaign string, page_location string, event_date string, event_count bigint, sessions bigint, "
+        "total_users bigint, rescued map<string,string>"
+    ),
     "audit_pipeline_runs": (
         "run_id string, pipeline string, step string, environment string, "
         "start_ts timestamp_ntz, end_ts timestamp_ntz, duration_ms bigint, status string, "
@@ -47,4 +58,6 @@ LAYOUT = {
     "shopify_orders": ("shopify", "orders"),
     "shopify_line_items": ("shopify", "line_items"),
     "email_events": ("email", "events"),
+    "meta_ad_insights": ("meta", "ad_insights"),
+    "ga4_report": ("ga4", "report"),
 }
