@@ -7,8 +7,12 @@ its number of ids) and the ids as little-endian unsigned 32-bit integers.
 Behind the frames stands the seek table in a skippable frame of the published
 seekable layout: per frame its compressed size, its content's size and the low
 32 bits of its content's XXH64; then the number of frames, a descriptor and the
-magic number. Any reader of zstandard can decompress the file; a reader that
-wants some documents reads the tail and then their frames only.
+magic number. Before it, in another skippable frame, stands an index: per frame
+its number of documents with an id and the first and last of these ids. Any
+reader of zstandard can decompress the file; a reader that wants some documents
+reads the tail, looks their ids up in the index and decompresses their frames
+only. The manifest has each file's first and last id, so only files that may
+hold a document are opened.
 
 Files are written under a temporary name and moved into place, and only files
 of finished tasks are listed in the manifest, so lost executors and repeated
@@ -23,7 +27,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +46,8 @@ END_ID = 2
 FRAME_DOCS = 256
 FRAME_IDS = 1 << 18
 LEVEL = 3
+# Ids, by number, that a task looks up in a file at a time.
+READ_IDS = 1 << 16
 # Words whose ids a Python worker remembers, and the longest of them.
 CACHE_WORDS = 1_000_000
 CACHE_CHARS = 64
@@ -58,7 +64,10 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 DESCRIPTOR = 0x80  # entries carry a checksum
 
+INDEX_MAGIC = 0x184D2A50
+
 _DOC = np.dtype([("has_id", "<u8"), ("doc_id", "<i8"), ("n", "<u8")])
+_INDEX = np.dtype([("n", "<u8"), ("first", "<i8"), ("last", "<i8")])
 
 
 # -- tokens ------------------------------------------------------------------
@@ -201,6 +210,7 @@ class Writer:
 
     def __init__(self, sink, level: int = LEVEL):
         self.sink, self.packer, self.table = sink, zstandard.ZstdCompressor(level=level), []
+        self.index: list[tuple[int, int, int]] = []
         self.docs: list[tuple[int, int, int]] = []
         self.parts: list[bytes] = []
         self.ids = 0
@@ -219,10 +229,14 @@ class Writer:
             frame = self.packer.compress(content)
             self.sink.write(frame)
             self.table.append((len(frame), len(content), xxhash.xxh64_intdigest(content) & 0xFFFFFFFF))
+            named = [doc_id for has_id, doc_id, _ in self.docs if has_id]
+            self.index.append((len(named), min(named, default=0), max(named, default=0)))
             self.docs, self.parts, self.ids = [], [], 0
 
     def close(self) -> None:
         self.flush()
+        index = np.array(self.index, _INDEX).tobytes()
+        self.sink.write(struct.pack("<II", INDEX_MAGIC, len(index)) + index)
         entries = b"".join(struct.pack("<III", *e) for e in self.table)
         footer = struct.pack("<IBI", len(self.table), DESCRIPTOR, SEEKABLE_MAGIC)
         self.sink.write(struct.pack("<II", SKIPPABLE_MAGIC, len(entries) + len(footer)) + entries + footer)
@@ -239,6 +253,7 @@ class Reader:
         raw = self._at(size - 9 - 12 * n, 12 * n)
         self.table = [struct.unpack_from("<III", raw, 12 * i) for i in range(n)]
         self.places = np.concatenate([[0], np.cumsum([t[0] for t in self.table])]).astype(np.int64)
+        self.index = np.frombuffer(self._at(size - 17 - (12 + _INDEX.itemsize) * n, _INDEX.itemsize * n), _INDEX)
 
     def _at(self, start: int, length: int) -> bytes:
         self.source.seek(start)
@@ -263,6 +278,17 @@ class Reader:
         ]
 
 
+    def documents(self, wanted: Iterable[int]) -> Iterator[tuple[int, np.ndarray]]:
+        """The documents with these ids, from the frames that may hold them."""
+        ids = np.unique(np.fromiter(wanted, np.int64))
+        low, high = np.searchsorted(ids, self.index["first"]), np.searchsorted(ids, self.index["last"], side="right")
+        for i in np.flatnonzero((self.index["n"] > 0) & (low < high)).tolist():
+            some = set(ids[low[i] : high[i]].tolist())
+            for doc_id, tokens in self.frame(i):
+                if doc_id in some:
+                    yield doc_id, tokens
+
+
 # -- on Spark ------------------------------------------------------------------
 
 
@@ -270,7 +296,7 @@ def _file_system(url: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(url) if ":/" in url else (fs.LocalFileSystem(), url)
 
 
-_MANIFEST = "part int, path string, frames int, n_docs bigint, n_ids bigint"
+_MANIFEST = "part int, path string, frames int, n_docs bigint, n_ids bigint, first_id bigint, last_id bigint"
 
 
 def write_files(
@@ -307,10 +333,13 @@ def write_files(
             writer.close()
             sink.close()
             system.move(temporary, final)
-            yield pa.RecordBatch.from_pydict(
-                {"part": [part], "path": [final], "frames": [len(writer.table)], "n_docs": [n_docs], "n_ids": [n_ids]},
-                pa.schema([("part", pa.int32()), ("path", pa.string()), ("frames", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]),
-            )
+            named = [(first, last) for n, first, last in writer.index if n]
+            row = {
+                "part": part, "path": final, "frames": len(writer.table), "n_docs": n_docs, "n_ids": n_ids,
+                "first_id": min((a for a, _ in named), default=None), "last_id": max((b for _, b in named), default=None),
+            }
+            kinds = [pa.int32(), pa.string(), pa.int32()] + [pa.int64()] * 4
+            yield pa.RecordBatch.from_pylist([row], pa.schema(list(zip(row, kinds, strict=True))))
 
     docs = one_of_each(docs, "doc_id", "text")
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("text")]
@@ -352,6 +381,46 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
     return spread.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
+def read_documents(manifest: DataFrame, folder: str, wanted: DataFrame) -> DataFrame:
+    """The documents of `wanted(doc_id)` -> `(doc_id, ids)`, a row for each that is in the files.
+
+    The ranges of the files, one row each, are all that is broadcast. Every file
+    that may hold a wanted document is opened once for every `READ_IDS` of them,
+    and only frames that may hold one are decompressed.
+    """
+    spark = manifest.sparkSession
+    ranges = manifest.where("first_id is not null").select("path", "first_id", "last_id")
+    ids = wanted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    paths = ranges.orderBy("first_id", "last_id", "path").toArrow()
+    firsts, lasts, names = (paths.column(c).to_pylist() for c in ("first_id", "last_id", "path"))
+    shared = spark.sparkContext.broadcast((np.array(firsts, np.int64), np.maximum.accumulate(np.array(lasts, np.int64)), lasts, names))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, most, last, path = shared.value
+        for batch in batches:
+            out = []
+            for doc_id in batch.column("doc_id").to_pylist():
+                # Rows of one id may go over the end of a file, hence several files.
+                a, b = np.searchsorted(most, doc_id), np.searchsorted(first, doc_id, side="right")
+                out += [(path[i], doc_id) for i in range(a, b) if last[i] >= doc_id]
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.string()), pa.array([d for _, d in out], pa.int64())], ["path", "doc_id"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, _ = _file_system(folder)
+        for batch in batches:
+            for row in batch.to_pylist():
+                with system.open_input_file(row["path"]) as source:
+                    for doc_id, tokens in Reader(source).documents(row["wanted"]):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([doc_id]), pa.array([tokens.astype(np.int64)], pa.list_(pa.int64()))], ["doc_id", "ids"]
+                        )
+
+    placed = ids.mapInArrow(place, "path string, doc_id bigint")
+    part = F.pmod(F.floor(F.col("doc_id") / READ_IDS), F.lit(1 << 20))
+    asked = placed.groupBy("path", part.alias("part")).agg(F.collect_list("doc_id").alias("wanted"))
+    return asked.select("path", "wanted").mapInArrow(read, "doc_id bigint, ids array<bigint>")
+
+
 def token_files(docs: DataFrame, vocabulary: Callable[[], str], end_id: int = END_ID) -> DataFrame:
     """Write `docs` to a new folder of the shared one and read the files back."""
     folder = new_run_dir(docs.sparkSession, "tokens")
