@@ -13,6 +13,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -404,9 +405,29 @@ def test_shards_divide_a_group_above_a_shard(spark):
     assert len(total) == 8 and max(total.values()) <= 1.05 * min(total.values())
 
 
+def test_shards_of_ten_large_groups_are_near_equal(spark):
+    docs = spark.createDataFrame([(i, f"text of group {i % 10}") for i in range(10000)], "doc_id long, text string")
+    total = Counter()
+    for r in sharding.shard(docs).collect():
+        total[r.shard] += r["size"]
+    assert len(total) == 8 and max(total.values()) <= 1.05 * min(total.values())
+
+
+def test_rows_that_agree_in_id_and_text_are_spread(spark):
+    docs = spark.createDataFrame([(5, "one and the same")] * 8000, "doc_id long, text string").repartition(4)
+    got = sharding.shard(docs).collect()
+    total = Counter(r.shard for r in got)
+    assert len(total) == 8 and max(total.values()) <= 1.1 * min(total.values())
+    for s in total:
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(total[s]))
+
+
 def test_write_shards(docs, rows, tmp_path):
-    back = sharding.write_shards(docs, str(tmp_path / "out"), 3)
-    same([(r.doc_id, r.text) for r in back.collect()], [(r[0], r[1]) for r in rows])
+    back = sharding.write_shards(docs, str(tmp_path / "out"), 3).collect()
+    # The input's own `shard` stays, the new one has another name.
+    same([(r.doc_id, r.text, r.shard) for r in back], [(r[0], r[1], r[6]) for r in rows])
+    for s in {r.shard_ for r in back}:
+        assert sorted(r.slot for r in back if r.shard_ == s) == list(range(sum(r.shard_ == s for r in back)))
 
 
 # -- licenses ----------------------------------------------------------------
@@ -577,6 +598,30 @@ def test_token_files(spark, docs, rows, tmp_path):
     assert [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got]])[:-1].tolist()
 
 
+def test_read_documents_opens_only_their_frames(spark, docs, rows, tmp_path, monkeypatch):
+    folder = str(tmp_path / "files")
+    manifest = token_files.write_files(docs, folder, queries.vocabulary)
+    every = {r.doc_id: r.ids_crc32 for r in token_files.read_files(manifest, folder).collect() if r.doc_id != 7 and r.doc_id != 403}
+    wanted = [3, 104, 409, 7, 99999]
+    got = token_files.read_documents(manifest, folder, spark.createDataFrame([(i,) for i in [*wanted, 3, None]], "doc_id long")).collect()
+    same([r.doc_id for r in got], [3, 104, 409, 7, 7, 7])
+    crc = lambda x: zlib.crc32(np.array(x, "<u4").tobytes())
+    assert all(crc(r.ids) == every[r.doc_id] for r in got if r.doc_id in every)
+    # One file of many frames: the others are not touched.
+    sink = Memory()
+    writer = token_files.Writer(sink)
+    for i in range(2000):
+        writer.add(2 * i, np.arange(i % 9, dtype="<u4").tobytes())
+    writer.add(None, b"")
+    writer.close()
+    reader, opened = token_files.Reader(sink), []
+    frame = token_files.Reader.frame
+    monkeypatch.setattr(token_files.Reader, "frame", lambda self, i: opened.append(i) or frame(self, i))
+    found = dict(reader.documents([10, 2222, 2223, 9999999]))
+    assert found.keys() == {10, 2222} and found[2222].tolist() == list(range(1111 % 9)) and opened == [0, 1111 // token_files.FRAME_DOCS]
+    assert zstandard.ZstdDecompressor().stream_reader(io.BytesIO(sink.getvalue()), read_across_frames=True).read(4)
+
+
 class Memory(io.BytesIO):
     def size(self):
         return len(self.getvalue())

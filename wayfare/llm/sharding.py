@@ -3,15 +3,17 @@
 Records are ordered by a hash of their text, so equal texts stand together. A
 sample of the keys, drawn with a chance in proportion to size, gives quantiles
 as range boundaries; a key that fills a range on its own gets one to itself.
-Ranges above a shard's fair share are subdivided by record. Measured ranges are
-then dealt to shards, the largest first and always to the emptiest, so shards
-are near equal in bytes and groups of equal texts stay together unless a group
-alone is more than a shard.
+Ranges above a shard's fair share are subdivided by record, and smaller ones as
+well, down to a sixteenth of a share, where the shards would not come out near
+equal otherwise. Measured ranges are then dealt to shards, the largest first and
+always to the emptiest. So shards are near equal in bytes whatever the groups,
+and a group of equal texts stays together as far as that allows.
 
 The driver sees sampled keys and ranges, both bounded by `MAX_RANGES`; records
 are numbered inside blocks of about `BLOCK_ROWS` rows.
 
-A null text has size 1 and checksum 0. Rows that repeat are separate records.
+A null text has size 1 and checksum 0. Rows that repeat are separate records,
+told apart by a number that is written with them.
 An empty table gives an empty result.
 """
 
@@ -24,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import one_of_each
+from wayfare.functions.skew import splittable
 from wayfare.session import new_run_dir, store
 
 SHARDS = 8
@@ -33,21 +35,37 @@ RANGE_BYTES = 256 << 20
 MAX_RANGES = 1 << 16
 SAMPLES_PER_RANGE = 16
 BLOCK_ROWS = 1 << 16
+# Planned ranges above which a range is subdivided: the first that levels the shards to within TOLERANCE of the best.
+LARGE = (RANGES_PER_SHARD, 16, 4)
+TOLERANCE = 0.02
 LAW = "bytes"
 
 
-def records(docs: DataFrame) -> DataFrame:
-    """`docs(doc_id, text)` -> doc_id, size, text_crc32, the ordering key and a hash of the record."""
+def records(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """`docs(doc_id, text)` -> doc_id, size, text_crc32, the ordering key, a hash of the record, and its number.
+
+    With `whole`, all columns of the input as one, `row`.
+    """
     key = F.xxhash64("text")
-    return one_of_each(docs, "doc_id", "text").select(
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole else []
+    return docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(1)).cast("long").alias("size"),
         F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         key.alias("key"),
         F.xxhash64(key, "doc_id").alias("own"),
+        F.monotonically_increasing_id().alias("number"),
+        *rest,
     )
 
 
+def told_apart(rows: DataFrame) -> DataFrame:
+    """Stored `records`, with the number taken into the hash of those that agree with another."""
+    repeated = rows.groupBy(F.col("own").alias("of")).agg(F.count("*").alias("n")).where("n > 1").select("of")
+    own = F.when(F.col("of").isNull(), F.col("own")).otherwise(F.xxhash64("own", "number"))
+    return rows.join(repeated, splittable(F.col("own"), F.col("of")), "left").withColumn("own", own).drop("of")
+
+
 def splitters(rows: DataFrame, total: int, n_ranges: int) -> np.ndarray:
     """Boundaries between ranges of about equal bytes, from a size-weighted sample of keys."""
     wanted = n_ranges * SAMPLES_PER_RANGE
@@ -113,15 +131,21 @@ def _measured(rows: DataFrame, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
 
 def deal(sizes: np.ndarray, n_shards: int) -> np.ndarray:
     """The largest first, always to the emptiest shard."""
-    heap = [(0, s) for s in range(n_shards)]
+    heap = [(0.0, s) for s in range(n_shards)]
     out = np.zeros(len(sizes), np.int32)
     for i in np.argsort(-sizes, kind="stable").tolist():
         filled, shard = heapq.heappop(heap)
         out[i] = shard
-        heapq.heappush(heap, (filled + int(sizes[i]), shard))
+        heapq.heappush(heap, (filled + float(sizes[i]), shard))
     return out
 
 
+def _unevenness(sizes: np.ndarray, n_shards: int) -> float:
+    """Largest less smallest shard, as a part of a fair share."""
+    filled = np.bincount(deal(sizes, n_shards), sizes, n_shards)
+    return float(filled.max() - filled.min()) / (sizes.sum() / n_shards)
+
+
 def plan(rows: DataFrame, n_shards: int = SHARDS, block_rows: int = BLOCK_ROWS) -> Layout | None:
     """The layout for stored `records`; None for an empty table."""
     total = rows.agg(F.sum("size")).first()[0]
@@ -131,8 +155,10 @@ def plan(rows: DataFrame, n_shards: int = SHARDS, block_rows: int = BLOCK_ROWS)
     bounds = splitters(rows, total, n_ranges)
     layout = Layout(bounds, np.ones(len(bounds) + 1, np.int64))
     size, count = _measured(rows, layout)
-    fair, unit_bytes = total / n_shards, total / (n_shards * RANGES_PER_SHARD)
-    parts = np.where(size > fair, np.ceil(size / unit_bytes), 1).astype(np.int64)
+    unit_bytes = total / (n_shards * RANGES_PER_SHARD)
+    ways = [np.where(size > large * unit_bytes, np.ceil(size / unit_bytes), 1).astype(np.int64) for large in LARGE]
+    uneven = [_unevenness(np.repeat(size / parts, parts), n_shards) for parts in ways]
+    parts = next(parts for parts, u in zip(ways, uneven, strict=True) if u <= min(uneven) + TOLERANCE)
     if (parts > 1).any():
         layout = Layout(bounds, parts)
         size, count = _measured(rows, layout)
@@ -141,17 +167,18 @@ def plan(rows: DataFrame, n_shards: int = SHARDS, block_rows: int = BLOCK_ROWS)
     return layout
 
 
-def shard(docs: DataFrame, n_shards: int = SHARDS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """`docs(doc_id, text)` -> doc_id, size, text_crc32, key, shard and slot, row by row.
+def shard(docs: DataFrame, n_shards: int = SHARDS, block_rows: int = BLOCK_ROWS, whole: bool = False) -> DataFrame:
+    """`docs(doc_id, text)` -> doc_id, size, text_crc32, key, shard and slot, row by row; with `whole` also `row`.
 
     Slots count the records of a shard from 0 without gaps.
     """
     spark = docs.sparkSession
     run = new_run_dir(spark, "shards")
-    rows = store(records(docs), f"{run}/records")
+    out = ["doc_id", "size", "text_crc32", "key", *(["row"] if whole else [])]
+    rows = told_apart(store(records(docs, whole), f"{run}/records"))
     layout = plan(rows, n_shards, block_rows)
     if layout is None:
-        return rows.select("doc_id", "size", "text_crc32", "key", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+        return rows.select(*out, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     shared = spark.sparkContext.broadcast(layout)
 
     @F.pandas_udf("unit long, shard int, block long")
@@ -166,35 +193,31 @@ def shard(docs: DataFrame, n_shards: int = SHARDS, block_rows: int = BLOCK_ROWS)
         .agg(F.count("*").alias("n"))
         .select("unit", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     )
-    inside = Window.partitionBy("unit", "block").orderBy("key", "doc_id", "size")
+    inside = Window.partitionBy("unit", "block").orderBy("key", "doc_id", "size", "number")
     return (
         placed.withColumn("k", F.row_number().over(inside) - 1)
         .join(firsts, ["unit", "block"])
-        .select("doc_id", "size", "text_crc32", "key", "shard", (F.col("first") + F.col("k")).cast("long").alias("slot"))
+        .select(*out, "shard", (F.col("first") + F.col("k")).cast("long").alias("slot"))
     )
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """`name`, with as many underscores behind it as keep it apart from the names in use."""
+    while name.lower() in [c.lower() for c in taken]:
+        name += "_"
+    return name
+
+
 def write_shards(docs: DataFrame, folder: str, n_shards: int = SHARDS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Write the rows of `docs`, all columns, as `folder/shard=N/`, and read the folder.
 
-    Rows that agree in id and text are written once for each of their slots.
+    Where the input has columns `shard` or `slot` of its own, these stay and the
+    new ones are called `shard_` and `slot_`.
     """
-    spark = docs.sparkSession
-    slots = (
-        shard(docs, n_shards, block_rows)
-        .groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
-        .agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("__slots"))
-    )
-    names = [c for c in docs.columns if c not in ("shard", "slot")]
-    numbered = docs.withColumn("__key", F.xxhash64("text"))
-    again = Window.partitionBy("doc_id", "__key").orderBy("doc_id")
-    rows = (
-        numbered.withColumn("__n", F.row_number().over(again))
-        .alias("d")
-        .join(slots.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.__id")) & (F.col("d.__key") == F.col("s.__key")))
-        .select(*[F.col(f"d.`{c}`") for c in names], F.col("s.__slots")[F.col("d.__n") - 1].alias("__slot"))
-        .select(*[F.col(f"`{c}`") for c in names], F.col("__slot.shard").alias("shard"), F.col("__slot.slot").alias("slot"))
-    )
-    cut = F.floor(F.col("slot") / block_rows)
-    rows.repartition("shard", cut).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
-    return spark.read.parquet(folder)
+    to, at = (_free(name, docs.columns) for name in ("shard", "slot"))
+    dealt = shard(docs, n_shards, block_rows, whole=True)
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    rows = dealt.select(F.floor(F.col("slot") / block_rows).alias("cut"), F.struct(*own, F.col("shard").alias(to), F.col("slot").alias(at)).alias("r"))
+    spread = rows.repartition(F.col(f"r.`{to}`"), "cut").sortWithinPartitions(F.col(f"r.`{to}`"), F.col(f"r.`{at}`"))
+    spread.select("r.*").write.partitionBy(to).parquet(folder)
+    return docs.sparkSession.read.parquet(folder)
