@@ -271,6 +271,7 @@ FROM ga4_events GROUP BY event_name, device_category, country, source, medium, c
     # identity
     "identity_edges": "SELECT * FROM edges",
     "identity_graph": "SELECT * FROM graph",
+    "identity_graph_grown": "SELECT * FROM graph",
     "identity_kpass": "SELECT * FROM kpass",
     "identity_candidates": """SELECT DISTINCT 'meta_fbp:' || fbp AS raw_id_src, 'device:' || sha256(ip_prefix || '|' || user_agent) AS raw_id_dst,
  'device_fingerprint' AS match_type, 'probabilistic' AS confidence FROM stg_pixel WHERE consent_status = 'granted'""",
@@ -292,6 +293,14 @@ SELECT ga_client_id, min(event_ts) AS session_started_at, max(event_ts) + INTERV
 FROM (SELECT *, sum(s) OVER (PARTITION BY ga_client_id ORDER BY event_ts ROWS UNBOUNDED PRECEDING) AS n
  FROM (SELECT *, CASE WHEN event_ts < lag(event_ts) OVER (PARTITION BY ga_client_id ORDER BY event_ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS s FROM stg_web))
 GROUP BY ga_client_id, n HAVING max(event_ts) + INTERVAL 30 MINUTE <= (SELECT max(event_ts) - INTERVAL 30 MINUTE FROM stg_web)""",
+    "stream_session_table": """
+SELECT ga_client_id, min(event_ts) AS session_started_at, max(event_ts) + INTERVAL 30 MINUTE AS session_closed_at, count(*) AS event_count,
+ max(CASE WHEN event_name = 'purchase' THEN 1 ELSE 0 END) AS is_purchase_session,
+ max(event_ts) + INTERVAL 30 MINUTE > TIMESTAMP '2024-01-31 00:00:00' AS is_open
+FROM (SELECT *, sum(s) OVER (PARTITION BY ga_client_id ORDER BY event_ts ROWS UNBOUNDED PRECEDING) AS n
+ FROM (SELECT *, CASE WHEN event_ts < lag(event_ts) OVER (PARTITION BY ga_client_id ORDER BY event_ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS s
+  FROM stg_web WHERE ga_client_id IS NOT NULL AND event_ts IS NOT NULL))
+GROUP BY ga_client_id, n""",
     # touchpoints
     "all_touches": "SELECT * FROM touches",
     "conversions": "SELECT * FROM convs",

@@ -5,8 +5,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from wayfare.operators import components as rounds
 from wayfare.operators import identity, staging
 from wayfare.operators.components import _large_star, _small_star, connected_components
+from wayfare.session import store
 from wayfare.sources.schemas import BRONZE
 
 
@@ -72,6 +74,70 @@ def test_person_id_and_parsing(spark):
     assert got["shopify_customer:7"].unified_user_id == cookie.unified_user_id
 
 
+def edge_rows(spark, pairs):
+    return spark.createDataFrame(
+        [(a, b, "t", "high") for a, b in pairs], "raw_id_src string, raw_id_dst string, match_type string, confidence string"
+    )
+
+
+def people_of(graph):
+    rows = [(r.raw_id, r.raw_source, r.raw_value, r.unified_user_id) for r in graph.collect()]
+    assert len({r[0] for r in rows}) == len(rows)
+    return set(rows)
+
+
+CHAIN_OF_CHAINS = [(f"k:{c}{i:02d}", f"k:{c}{i + 1:02d}") for c in "abc" for i in range(20)]
+GROWTH = {
+    "new_people_only": ([("k:a", "k:b")], [("k:c", "k:d"), ("k:e", "k:e")]),
+    "two_people_become_one": ([("k:m", "k:n"), ("k:p", "k:q")], [("k:q", "k:n")]),
+    "a_smaller_id_renames": ([("k:m", "k:n"), ("k:x", "k:x")], [("k:a", "k:n")]),
+    "known_edges_again": ([("k:a", "k:b"), ("k:b", "k:c")], [("k:b", "k:a"), ("k:c", "k:b")]),
+    "chains_joined_end_to_start": (CHAIN_OF_CHAINS, [("k:a20", "k:b00"), ("k:b20", "k:c10"), ("k:c20", "k:new")]),
+    "nothing_new": ([("k:a", "k:b")], []),
+    "nothing_known": ([], [("k:a", "k:b"), ("k:b", "k:c")]),
+    "missing_ids": ([("k:a", "k:b")], [(None, "k:b"), ("k:b", None), (None, None)]),
+}
+
+
+@pytest.mark.parametrize("case", GROWTH)
+def test_grown_graph_equals_a_rebuild(spark, case):
+    old, new = GROWTH[case]
+    graph = identity.identity_graph(edge_rows(spark, old))
+    got = people_of(identity.grown_graph(graph, edge_rows(spark, new)))
+    assert got == people_of(identity.identity_graph(edge_rows(spark, old + new)))
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_a_graph_grown_day_by_day_equals_a_rebuild(spark, seed):
+    rng = random.Random(seed)
+    nodes = [f"k:{i:03d}" for i in range(200)]
+    days = [[(rng.choice(nodes), rng.choice(nodes)) for _ in range(50)] for _ in range(3)]
+    # One id meets a third of all others on the second day.
+    days[1] += [("k:150", n) for n in rng.sample(nodes, 60)]
+    graph = identity.identity_graph(edge_rows(spark, days[0]))
+    for day in days[1:]:
+        graph = identity.grown_graph(graph, edge_rows(spark, day))
+    assert people_of(graph) == people_of(identity.identity_graph(edge_rows(spark, sum(days, []))))
+
+
+def test_growth_takes_fewer_rounds_than_a_rebuild(spark, monkeypatch):
+    written = []
+
+    def counted(df, path, *rest):
+        if "/round-" in path:
+            written.append(path)
+        return store(df, path, *rest)
+
+    old = [(f"k:{i:03d}", f"k:{i + 1:03d}") for i in range(300)]
+    new = [("k:300", "k:301")]
+    graph = identity.identity_graph(edge_rows(spark, old))
+    monkeypatch.setattr(rounds, "store", counted)
+    rebuilt = people_of(identity.identity_graph(edge_rows(spark, old + new)))
+    whole = len(written)
+    assert people_of(identity.grown_graph(graph, edge_rows(spark, new))) == rebuilt
+    assert len(written) - whole == 1 < whole
+
+
 def test_kpass_stops_short_and_swaps_labels_without_self_edges(spark):
     def kpass(pairs):
         both = {(a, b) for a, b in pairs} | {(b, a) for a, b in pairs}

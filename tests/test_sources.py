@@ -1,7 +1,8 @@
 import glob
 import json
 import os
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from wayfare.sources.published import read_published
 from wayfare.sources.schemas import BRONZE, LAYOUT
 from wayfare.sources.testbed import load_bronze
 from wayfare.streaming.ingest import ingest_events, landed_stream
-from wayfare.streaming.sessions import append_closed, cookie_sessions
+from wayfare.streaming.sessions import append_closed, cookie_sessions, keep_session_parts, session_table
 
 EMAIL = BRONZE["email_events"]
 
@@ -262,3 +263,81 @@ def test_what_does_not_fit_is_rescued(spark, tmp_path):
     (r,) = landed.web_report_rescued(landed.read_raw_records(spark, f"{tmp_path}/web", "rows", multiline=False)).collect()
     assert (r.event_name, r.event_date, r.event_count, r.sessions, r.total_users) == ("a", "h", 1, None, 3)
     assert r.rescued == {"dimension_8": "i", "metric_1": "many", "metric_3": "4"}
+
+
+def plain_sessions(rows, now, gap=timedelta(minutes=30)):
+    """Sessions the plain way: every cookie's events in order, cut where the gap has passed."""
+    out = set()
+    cookies = {c for _, _, t, c in rows if c is not None and t is not None}
+    for cookie in cookies:
+        events = sorted((t, name == "purchase") for _, name, t, c in rows if c == cookie and t is not None)
+        run = []
+        for t, bought in [*events, (None, False)]:
+            if run and (t is None or t >= run[-1][0] + gap):
+                closes = run[-1][0] + gap
+                out.add((cookie, run[0][0], closes, len(run), int(any(b for _, b in run)), closes > now))
+                run = []
+            run.append((t, bought))
+    return out
+
+
+SESSION_ROWS = "event_id string, event_name string, event_ts timestamp_ntz, ga_client_id string"
+
+
+def taken_up(spark, root, drops, now):
+    for drop in drops:
+        spark.createDataFrame(drop, SESSION_ROWS).write.mode("append").parquet(f"{root}/landed")
+        keep_session_parts(spark.readStream.schema(SESSION_ROWS).parquet(f"{root}/landed"), f"{root}/kept")
+    return session_table(spark, f"{root}/kept", now)
+
+
+def test_late_rows_extend_and_join_sessions(spark, ts, tmp_path):
+    day = lambda t: ts(f"2024-01-05T{t}")
+    first = [
+        ("1", "page_view", day("10:00:00"), "a"),
+        ("2", "page_view", day("10:50:00"), "a"),
+        ("3", "page_view", day("12:00:00"), "b"),
+        ("4", "page_view", day("12:30:00"), "b"),
+        ("5", "page_view", None, "b"),
+        ("6", "purchase", day("09:00:00"), None),
+    ]
+    # Days later: one row between two sessions, one inside a session, one exactly a gap away.
+    later = [("7", "purchase", ts("2024-01-09T08:00:00"), "c")]
+    late = [
+        ("8", "purchase", day("10:25:00"), "a"),
+        ("9", "page_view", day("10:55:00"), "a"),
+        ("9", "page_view", day("10:55:00"), "a"),
+        ("10", "page_view", day("13:00:00"), "b"),
+    ]
+    now = ts("2024-01-09T08:10:00")
+    got = taken_up(spark, tmp_path, [first, later, late], now)
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == plain_sessions(first + later + late, now)
+    assert ("a", day("10:00:00"), day("11:25:00"), 5, 1, False) in rows
+    assert [r for r in rows if r[-1]] == [("c", ts("2024-01-09T08:00:00"), ts("2024-01-09T08:30:00"), 1, 1, True)]
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_session_table_in_any_order_of_arrival(spark, ts, tmp_path, seed):
+    rng = random.Random(seed)
+    start = ts("2024-01-05T00:00:00")
+    # A third of all rows belong to one cookie.
+    rows = [
+        (str(i), rng.choice(["page_view", "purchase"]), start + timedelta(seconds=rng.randrange(3 * 86400)), rng.choice("hhabc"))
+        for i in range(600)
+    ]
+    now = start + timedelta(days=2)
+    got = taken_up(spark, tmp_path, [rows[:200], rows[200:250], rows[250:]], now)
+    assert {tuple(r) for r in got.collect()} == plain_sessions(rows, now)
+
+
+def test_a_repeated_batch_counts_once_and_no_batch_gives_no_session(spark, ts, tmp_path):
+    now = ts("2024-01-06T00:00:00")
+    assert session_table(spark, f"{tmp_path}/none", now).collect() == []
+    rows = [("1", "page_view", ts("2024-01-05T10:00:00"), "a")]
+    want = [tuple(r) for r in taken_up(spark, tmp_path, [rows], now).collect()]
+    # The stream forgets that it has finished the batch, as after a crash.
+    for name in os.listdir(f"{tmp_path}/kept/progress/commits"):
+        os.remove(f"{tmp_path}/kept/progress/commits/{name}")
+    keep_session_parts(spark.readStream.schema(SESSION_ROWS).parquet(f"{tmp_path}/landed"), f"{tmp_path}/kept")
+    assert [tuple(r) for r in session_table(spark, f"{tmp_path}/kept", now).collect()] == want

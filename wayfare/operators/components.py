@@ -105,3 +105,28 @@ def connected_components(pairs: DataFrame) -> DataFrame:
         .groupBy("id")
         .agg(F.min("root").alias("root"))
     )
+
+
+def merged_roots(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """What further `pairs(src, dst)` change: `(id, root, was_root)`.
+
+    `labels(id, root)` holds the ends of the pairs that already belong to a
+    component, and its root there. Such an end stands for its whole component,
+    so the rounds run over roots and new ids only, however large or deep the
+    components have grown. A row with `was_root` says where that root's
+    component now belongs; the others are ids seen for the first time.
+    """
+    ends = pairs.select("src", "dst")
+    for end, other in (("src", "dst"), ("dst", "src")):
+        at = labels.select(F.col("id").alias("_id"), F.col("root").alias("_root"))
+        ends = ends.join(at, splittable(F.col(end), F.col("_id")), "left").select(
+            F.coalesce("_root", end).alias(end), other
+        )
+    spark = pairs.sparkSession
+    contracted = store(ends.distinct(), new_run_dir(spark, "contracted"))
+    roots = labels.select(F.col("root").alias("id"), F.lit(True).alias("was_root")).distinct()
+    return (
+        connected_components(contracted)
+        .join(roots, "id", "left")
+        .select("id", "root", F.coalesce("was_root", F.lit(False)).alias("was_root"))
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.keys import node_id
 from wayfare.functions.skew import splittable
-from wayfare.operators.components import connected_components
+from wayfare.operators.components import connected_components, merged_roots
 from wayfare.params import (
     CUSTOMER,
     DEVICE,
@@ -19,6 +19,7 @@ from wayfare.params import (
     SUBSCRIBER,
     WEB_COOKIE,
 )
+from wayfare.session import new_run_dir, store
 
 EDGE_COLUMNS = ["raw_id_src", "raw_id_dst", "match_type", "confidence"]
 
@@ -109,6 +110,37 @@ def identity_graph(edges: DataFrame) -> DataFrame:
     return parts.select(*person_columns(F.col("id"), F.col("root")))
 
 
+def grown_graph(graph: DataFrame, edges: DataFrame) -> DataFrame:
+    """The stored graph after further edges: the same as a rebuild over all edges.
+
+    Edges may repeat known ones. A person is named after their smallest id, so
+    the row whose own pseudonym is the person's holds the root. The stored graph
+    is only scanned: it meets the ends of the new edges, and the people that
+    were merged, both as small as the delivery.
+    """
+    run = new_run_dir(graph.sparkSession, "grown")
+    person = F.col("unified_user_id")
+    pairs = edges.select(F.col("raw_id_src").alias("src"), F.col("raw_id_dst").alias("dst"))
+    ends = pairs.select(F.explode(F.array("src", "dst")).alias("raw_id")).distinct()
+    met = store(graph.join(ends, "raw_id").select("raw_id", "unified_user_id"), f"{run}/met")
+    roots = graph.where(F.md5("raw_id") == person).select(
+        F.col("raw_id").alias("root"), "unified_user_id"
+    )
+    labels = store(
+        met.join(roots, "unified_user_id").select(F.col("raw_id").alias("id"), "root"), f"{run}/labels"
+    )
+    parts = store(merged_roots(pairs, labels), f"{run}/parts")
+
+    moved = parts.where(F.col("was_root") & (F.col("id") != F.col("root"))).select(
+        F.md5("id").alias("unified_user_id"), F.md5("root").alias("_now")
+    )
+    kept = graph.join(moved, "unified_user_id", "left").withColumn(
+        "unified_user_id", F.coalesce("_now", "unified_user_id")
+    )
+    fresh = parts.where(~F.col("was_root")).select(*person_columns(F.col("id"), F.col("root")))
+    return kept.select(*graph.columns).unionByName(fresh.select(*graph.columns))
+
+
 def identity_kpass(edges: DataFrame, passes: int) -> DataFrame:
     """Exactly `passes` rounds of "take the smallest label among the neighbours".
 

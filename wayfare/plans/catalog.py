@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.keys import email_hash, fixed, ip_prefix, phone_hash
-from wayfare.operators import attribution, dimensions, privacy, quality, sessions, staging
+from wayfare.operators import attribution, dimensions, identity, privacy, quality, sessions, staging
 from wayfare.params import MODELS, Params
 from wayfare.plans import contracts, erasure, monitoring, reports, silver
 from wayfare.plans.warehouse import Warehouse
@@ -19,7 +19,7 @@ from wayfare.sources import audit, landed
 from wayfare.sources.published import publish, read_published
 from wayfare.sources.testbed import load_bronze
 from wayfare.streaming.ingest import ingest_events, landed_stream
-from wayfare.streaming.sessions import append_closed, cookie_sessions
+from wayfare.streaming.sessions import append_closed, cookie_sessions, keep_session_parts, session_table
 
 # The clock and report windows of the registered queries.
 PARAMS = Params(as_of=datetime(2024, 3, 1))
@@ -29,6 +29,7 @@ LATE_WINDOW = (date(2024, 1, 10), date(2024, 2, 10))
 LOOKBACK = (date(2024, 1, 31), 14)
 PURGE_AS_OF = date(2026, 3, 16)
 SECOND_DELIVERY = date(2024, 1, 10)
+LAST_DAYS = datetime(2024, 1, 28)
 LONG_TIMEOUT = 720
 STREAMED = ["event_id", "event_name", "event_ts", "ga_client_id"]
 
@@ -376,6 +377,35 @@ def stream_sessions(w: Warehouse) -> DataFrame:
     return w.spark.read.parquet(f"{root}/sessions")
 
 
+def stream_session_table(w: Warehouse) -> DataFrame:
+    """Sessions, open ones too, after two drops; the second brings every other event, all of them late."""
+    root = new_run_dir(w.spark, "parts")
+    staged = w.build("stg_ga4_events").select(*STREAMED)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 1
+    for drop in (staged.where(~late | late.isNull()), staged.where(late)):
+        drop.write.mode("append").parquet(f"{root}/landed")
+        keep_session_parts(w.spark.readStream.schema(staged.schema).parquet(f"{root}/landed"), root)
+    return session_table(w.spark, root, RUNS_AS_OF)
+
+
+def identity_graph_grown(w: Warehouse) -> DataFrame:
+    """The graph of what was there before the last days, grown by the edges that are new since."""
+    b = w.bronze
+    before = b | {
+        "ga4_events": b["ga4_events"].where(F.col("event_ts") < F.lit(LAST_DAYS).cast("timestamp_ntz")),
+        "meta_pixel_events": b["meta_pixel_events"].where(
+            F.timestamp_seconds("event_time").cast("timestamp_ntz") < F.lit(LAST_DAYS).cast("timestamp_ntz")
+        ),
+        "shopify_orders": b["shopify_orders"].where(
+            F.col("created_at").cast("timestamp_ntz") < F.lit(LAST_DAYS).cast("timestamp_ntz")
+        ),
+    }
+    first = Warehouse(w.spark, before, w.params)
+    ends = ["raw_id_src", "raw_id_dst"]
+    new = w.table("identity_edges").join(first.table("identity_edges"), ends, "left_anti")
+    return identity.grown_graph(first.table("identity_graph"), new)
+
+
 # -- erasure -------------------------------------------------------------------
 
 
@@ -461,6 +491,7 @@ QUERIES: dict[str, Query] = {
     # identity
     "identity_edges": _model("identity_edges"),
     "identity_graph": _model("identity_graph"),
+    "identity_graph_grown": identity_graph_grown,
     "identity_kpass": _model("identity_kpass"),
     "identity_candidates": _model("identity_candidates"),
     # sessions and funnel
@@ -477,6 +508,7 @@ QUERIES: dict[str, Query] = {
     "fct_funnel_steps_long": lambda w: sessions.channel_funnel(_long_sessions(w)),
     "stream_ingest": stream_ingest,
     "stream_sessions": stream_sessions,
+    "stream_session_table": stream_session_table,
     # touchpoints
     "all_touches": _model("all_touches"),
     "conversions": _model("conversions"),
