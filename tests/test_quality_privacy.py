@@ -1,4 +1,5 @@
 import hashlib
+import os
 from datetime import datetime
 
 import pytest
@@ -8,8 +9,8 @@ from wayfare.operators.quality import Check
 from wayfare.params import Params
 from wayfare.plans import erasure
 from wayfare.plans.warehouse import Warehouse
-from wayfare.session import new_run_dir
-from wayfare.sources.published import read_published
+from wayfare.session import new_run_dir, store
+from wayfare.sources.published import drop_replaced, files_of, publish, publish_without, read_published
 from wayfare.sources.testbed import load_bronze
 
 TINY = "/root/testdata/sf0.001"
@@ -159,3 +160,55 @@ def test_rows_without_a_person_survive_erasure(spark):
     df = spark.createDataFrame([("u", 1), (None, 2)], "unified_user_id string, x int")
     gone = spark.createDataFrame([("u",)], "unified_user_id string")
     assert [r.x for r in privacy.erase(df, gone).collect()] == [2]
+
+
+def kept_rows(df):
+    return sorted((tuple(r) for r in df.select("unified_user_id", "raw_source", "x").collect()), key=str)
+
+
+def test_erasure_writes_only_files_that_hold_the_person(spark, tmp_path):
+    rows = [(f"u{i}", f"s{i % 5}", i) for i in range(50)] + [(None, "s1", 100), ("u7", "s 3:x", 7), ("u9", None, 9)]
+    df = spark.createDataFrame(rows, "unified_user_id string, raw_source string, x int")
+    # Foldered by raw_source, one file in each folder.
+    table = publish(df.coalesce(1), f"{tmp_path}/v0", "identity_graph")
+    gone = spark.createDataFrame([("u7",), ("nobody",)], "unified_user_id string")
+    after = publish_without(table, "identity_graph", gone, f"{tmp_path}/v1")
+    before, now = set(files_of(table)), set(files_of(after))
+    assert len(before) == 7 and len(before & now) == 5
+    # u7 was alone in one folder, and one of several people in another.
+    assert len(now - before) == 1
+    assert kept_rows(after) == sorted((r for r in rows if r[0] != "u7"), key=str)
+
+    again = publish_without(after, "identity_graph", spark.createDataFrame([("u9",)], gone.schema), f"{tmp_path}/v2")
+    want = sorted((r for r in rows if r[0] not in ("u7", "u9")), key=str)
+    assert kept_rows(again) == want
+    assert len(set(files_of(again)) & now) == len(now) - 2
+    assert drop_replaced(spark, f"{tmp_path}/v1", "identity_graph") == 2
+    assert drop_replaced(spark, f"{tmp_path}/v2", "identity_graph") == 2
+    assert kept_rows(read_published(spark, f"{tmp_path}/v2", "identity_graph")) == want
+    left = spark.read.parquet(f"{tmp_path}/v0/identity_graph").select("unified_user_id").collect()
+    assert {"u7", "u9"}.isdisjoint(r[0] for r in left)
+
+
+def test_erasure_of_nobody_writes_no_rows_and_of_all_leaves_an_empty_table(spark, tmp_path):
+    df = spark.createDataFrame([("u", "s", 1)], "unified_user_id string, raw_source string, x int")
+    table = publish(df, f"{tmp_path}/v0", "identity_graph")
+    nobody = spark.createDataFrame([(None,), ("w",)], "unified_user_id string")
+    same = publish_without(table, "identity_graph", nobody, f"{tmp_path}/v1")
+    assert files_of(same) == files_of(table) and not os.path.exists(f"{tmp_path}/v1/identity_graph")
+    none = publish_without(same, "identity_graph", df.select("unified_user_id"), f"{tmp_path}/v2")
+    assert none.collect() == [] and none.columns == table.columns
+    empty = publish_without(none, "identity_graph", nobody, f"{tmp_path}/v3")
+    assert empty.collect() == [] and empty.schema == none.schema
+
+
+def test_one_person_leaves_most_files_shared(spark, marts):
+    root = new_run_dir(spark, "erased")
+    requests = spark.createDataFrame([("user3@example.com",)], "email string")
+    uid = privacy.resolve(requests, marts.table("dim_users")).first().unified_user_id
+    facts = marts.table("fct_touchpoints").repartitionByRange(16, "unified_user_id")
+    ranged = store(facts, f"{root}/fct_touchpoints")
+    keys = spark.createDataFrame([(uid,)], "unified_user_id string")
+    after = publish_without(ranged, "fct_touchpoints", keys, f"{root}/v1")
+    assert len(set(files_of(ranged)) - set(files_of(after))) == 1
+    assert after.count() == ranged.where(ranged.unified_user_id != uid).count() < ranged.count()

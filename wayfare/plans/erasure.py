@@ -1,9 +1,10 @@
 """Right to be forgotten over the published marts.
 
-Parquet folders have no row deletes, so every stored table with a person in it is
-rewritten without the forgotten people into a new version folder. A version
-starts from the one before and keeps its tombstones; the mark that it is
-finished is written last, and readers open the newest finished version.
+Parquet folders have no row deletes, so the files of every stored table that hold
+a forgotten person are written again into a new version folder; the version
+shares all other files with the one before, and keeps its tombstones. The mark
+that it is finished is written last, and readers open the newest finished
+version. `remove_replaced` then deletes the files that still hold the people.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from wayfare.operators import privacy
 from wayfare.operators.sessions import channel_funnel
 from wayfare.plans.warehouse import Warehouse
 from wayfare.session import path_exists, store
-from wayfare.sources.published import publish, read_published
+from wayfare.sources.published import drop_replaced, publish, publish_without, read_published
 
 PERSONAL = ["fct_touchpoints", "fct_sessions", "fct_conversions", "dim_users"]
 # Stored on the way to the marts, with a person in every row.
@@ -60,12 +61,13 @@ def forget(w: Warehouse, requests: DataFrame, root: str) -> dict[str, DataFrame]
     if done:
         stones = table("forgotten_users").unionByName(stones)
     out = {"forgotten_users": publish(stones, target, "forgotten_users")}
+    people = gone.select("unified_user_id")
     for name in PERSONAL + STORED:
-        out[name] = publish(privacy.erase(table(name), gone), target, name)
-    ids = table("identity_graph").join(gone, "unified_user_id", "left_semi").select("raw_id")
-    edges = table("identity_edges")
-    out["identity_edges"] = publish(
-        edges.join(ids, edges.raw_id_src == ids.raw_id, "left_anti"), target, "identity_edges"
+        out[name] = publish_without(table(name), name, people, target)
+    # Both ends of an edge are one person's, and every edge is stored in both directions.
+    ids = table("identity_graph").join(people, "unified_user_id", "left_semi")
+    out["identity_edges"] = publish_without(
+        table("identity_edges"), "identity_edges", ids.select(F.col("raw_id").alias("raw_id_src")), target
     )
     out["fct_funnel_steps"] = publish(
         channel_funnel(out["session_summary"]), target, "fct_funnel_steps"
@@ -74,6 +76,20 @@ def forget(w: Warehouse, requests: DataFrame, root: str) -> dict[str, DataFrame]
     return out
 
 
+def remove_replaced(spark: SparkSession, root: str) -> int:
+    """Delete, for all finished versions, the files that hold forgotten people; how many in all.
+
+    The warehouse's own tables and the earlier versions cannot be read afterwards.
+    Repeating it does no harm.
+    """
+    versions = range(1, finished_versions(spark, root) + 1)
+    return sum(
+        drop_replaced(spark, _version(root, n), name)
+        for n in versions
+        for name in [*PERSONAL, *STORED, "identity_edges"]
+    )
+
+
 def cascade_counts(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:
     """Rows per table before and after."""
     parts = None
