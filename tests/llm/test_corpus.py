@@ -495,6 +495,17 @@ def test_mixing(docs, rows):
     same([r.doc_id for r in out.collect()], [r.doc_id for r in got for _ in range(r.copies)])
 
 
+def test_unsettled_mixing_is_an_error(spark):
+    cells = spark.createDataFrame(
+        [("0a", 3, 50), ("0a", 90, 4), ("0b", 7, 900), ("0b", 400, 2)], "key string, size long, n long"
+    )
+    goals = mixing.targets(cells)
+    settled = {r.key: r.multiplier for r in mixing.solve(cells, goals).collect()}
+    assert set(settled) == {"0a", "0b"} and None not in settled.values()
+    with pytest.raises(RuntimeError, match="after 1 rounds"):
+        mixing.solve(cells, goals, rounds=1)
+
+
 def test_mixing_at_scale_of_a_table(spark):
     mix = mixing.mix(spark.read.parquet(f"{SMALL}/documents.parquet"))
     per = mix.groupBy("source").agg(F.first("target").alias("t"), F.sum(F.col("copies") * F.col("size")).alias("x")).collect()

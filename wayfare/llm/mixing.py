@@ -105,7 +105,8 @@ def solve(
 
     Each round is one aggregation over the cells, written to the shared folder.
     A source is settled when its words are within `tolerance` of the target, or
-    its bracket cannot be halved any further.
+    its bracket cannot be halved any further; one that is not settled after
+    `rounds` is an error.
     """
     run = new_run_dir(cells.sparkSession, "newton")
     # All documents at the cap, or no words at all: nothing to solve.
@@ -160,6 +161,9 @@ def solve(
         )
         if state.where(~settled).isEmpty():
             break
+    else:
+        open_sources = state.where(~settled).count()
+        raise RuntimeError(f"{open_sources} sources have no multiplier within {tolerance} after {rounds} rounds")
     return state.select("key", "source_size", "mean", "target", "multiplier")
 
 
