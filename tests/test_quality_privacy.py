@@ -212,3 +212,24 @@ def test_one_person_leaves_most_files_shared(spark, marts):
     after = publish_without(ranged, "fct_touchpoints", keys, f"{root}/v1")
     assert len(set(files_of(ranged)) - set(files_of(after))) == 1
     assert after.count() == ranged.where(ranged.unified_user_id != uid).count() < ranged.count()
+
+
+def test_replaced_files_go_and_the_current_version_stays(spark):
+    w = Warehouse(spark, load_bronze(spark, TINY), Params(as_of=AS_OF))
+    root, people = new_run_dir(spark, "erased"), []
+    for address in ("user3@example.com", "user6@example.com"):
+        requests = spark.createDataFrame([(address,)], "email string")
+        people += [r.unified_user_id for r in privacy.resolve(requests, w.table("dim_users")).collect()]
+        erasure.forget(w, requests, root)
+    folder = erasure.current(spark, root)
+    names = [*erasure.PERSONAL, *erasure.STORED]
+    counts = {n: read_published(spark, folder, n).count() for n in names}
+    assert erasure.remove_replaced(spark, root) > 0
+    for n in names:
+        left = read_published(spark, folder, n)
+        assert left.count() == counts[n] and left.where(left.unified_user_id.isin(people)).isEmpty(), n
+    # A later batch starts from the current version and needs none of the files that are gone.
+    requests = spark.createDataFrame([("user12@example.com",)], "email string")
+    assert privacy.resolve(requests, read_published(spark, folder, "dim_users")).count() == 1
+    after = erasure.forget(w, requests, root)
+    assert after["dim_users"].count() == counts["dim_users"] - 1
