@@ -454,6 +454,47 @@ def test_licenses(docs, rows):
     assert by[409].labels == [] and by[400].labels == []
 
 
+def test_whole_license_texts(spark):
+    rng = random.Random(3)
+    noise = lambda n: " ".join(rng.choice(["river", "stone", "of", "the", "software", "is"]) for _ in range(n))
+    texts = dict(license_scan.TEXTS)
+    edited = {}
+    for label, text in texts.items():
+        words = text.split()
+        # Words put in, left out and changed, far apart, and a changed holder.
+        words[20:20] = ["kindly", "and", "freely"]
+        words[60] = "changed"
+        del words[90:92]
+        words[100:101] = ["ACME", "Corp", "of", "Springfield"]
+        edited[label] = " ".join(words)
+    mixed_up = {}
+    for label, text in texts.items():
+        blocks = [text.split()[i : i + 6] for i in range(0, len(text.split()), 6)]
+        rng.shuffle(blocks)
+        mixed_up[label] = " ".join(" ".join(b) for b in blocks)
+    halves = {label: " ".join(text.split()[: len(text.split()) * 7 // 10]) for label, text in texts.items()}
+    rows, want = [], {}
+    for i, label in enumerate(texts):
+        for kind, body in enumerate((texts[label], edited[label], mixed_up[label], halves[label])):
+            n = 10 * i + kind
+            rows.append((n, noise(30 + n) + "\n" + body.upper() + "\n" + noise(500)))
+            want[n] = (label, kind, 30 + n)
+    rows.append((99, " ".join(texts.values())))
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), notices=license_scan.TEXTS).collect()}
+    for n, (label, kind, start) in want.items():
+        spans = got[n].spans
+        if kind < 2:
+            assert [s.label for s in spans] == [label] == got[n].labels, (n, spans)
+            assert spans[0].start == start and abs(spans[0].end - start - len(fold(texts[label]))) <= 6
+            assert spans[0].coverage == 1.0 if kind == 0 else 0.8 <= spans[0].coverage < 1.0
+        else:
+            assert spans == [] and got[n].score == 0.0, (n, kind, spans)
+    assert got[99].labels == sorted(texts) and [s.coverage for s in got[99].spans] == [1.0] * 3
+
+    with pytest.raises(ValueError):
+        license_scan.scan(spark.createDataFrame([], "doc_id long, text string"), notices=(("x", "word"),))
+
+
 # -- mixing ------------------------------------------------------------------
 
 

@@ -237,4 +237,4 @@ FROM numbered LEFT JOIN won USING (r)
 
 def oracle_sql() -> dict[str, str]:
     """Twins of the queries that SQL can express on the driver's tables."""
-    return {"op1_decontamination": _OP1, "op7_substring_dedup": _OP7, "op10_url_filter": _OP10, "op11_periodic_runs": twins.RUNS, "op13_merkle": twins.MERKLE}
+    return {"op1_decontamination": _OP1, "op5_license_scan": twins.LICENSES, "op7_substring_dedup": _OP7, "op10_url_filter": _OP10, "op11_periodic_runs": twins.RUNS, "op13_merkle": twins.MERKLE}

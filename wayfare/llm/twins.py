@@ -1,7 +1,9 @@
-"""DuckDB statements for the queries over periodic runs and the Merkle manifest."""
+"""DuckDB statements for the queries over periodic runs, the Merkle manifest and licenses."""
 
 from __future__ import annotations
 
+from wayfare.llm import license_scan
+
 # The checksum of a decimal number, its table built from the polynomial.
 _CRC_TABLE = """crc_table AS (
   SELECT list(list_reduce([i, 1, 1, 1, 1, 1, 1, 1, 1],
@@ -132,3 +134,76 @@ SELECT doc_id, leaves.h AS leaf, subroots.h AS subroot, high_n4.h AS root, sha25
        node AS folded_root, node = high_n4.h AS verified
 FROM leaves JOIN high_f4 USING (r) JOIN subroots ON subroots.name = leaves.tree, high_n4
 """
+
+
+def _template_rows() -> str:
+    entries = license_scan.templates(license_scan.BASE, license_scan.NOTICES + license_scan.TEXTS)
+    return ", ".join(
+        f"({t}, '{label}', '{' '.join(words)}', {k}, {drift}, {t < len(license_scan.BASE)})"
+        for t, (label, words, k, drift) in enumerate(entries)
+    )
+
+
+# Grams as strings; the alignment climbs the template word by word, one row per diagonal of the band.
+LICENSES = f"""
+WITH RECURSIVE templates AS (
+  SELECT t, label, string_split(phrase, ' ') AS w, len(string_split(phrase, ' ')) AS n, k, drift, is_base
+  FROM (VALUES {_template_rows()}) v(t, label, phrase, k, drift, is_base)
+),
+grams AS (
+  SELECT t, k, q, array_to_string(w[q + 1:q + k], ' ') AS g FROM (SELECT t, k, w, unnest(range(n - k + 1)) AS q FROM templates)
+),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+),
+placed AS (
+  SELECT r, k, p, array_to_string(w[p + 1:p + k], ' ') AS g
+  FROM (SELECT r, k, w, unnest(range(len(w) - k + 1)) AS p FROM docs, (SELECT DISTINCT k FROM templates))
+),
+votes AS (SELECT DISTINCT r, t, p - q AS d, q FROM placed JOIN grams USING (k, g)),
+diagonals AS (SELECT r, t, d, count(*) AS m FROM votes GROUP BY ALL),
+phrases AS (SELECT r, label, d FROM diagonals JOIN templates USING (t) WHERE is_base AND m = n - k + 1),
+based AS (
+  SELECT r, count(*) AS n_base, min(d) AS first_word, max(d) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM phrases GROUP BY r
+),
+cells AS (SELECT DISTINCT r, t, d, unnest(range(q, q + k)) AS q FROM votes JOIN templates USING (t)),
+candidates AS (
+  SELECT a.r, a.t, a.d, n, drift
+  FROM diagonals a JOIN templates USING (t) JOIN cells c ON c.r = a.r AND c.t = a.t AND c.d BETWEEN a.d AND a.d + drift
+  GROUP BY ALL HAVING count(DISTINCT c.q) / n >= CAST({license_scan.COVERAGE} AS DOUBLE)
+),
+steps AS (
+  SELECT r, t, d, n, CAST(-1 AS BIGINT) AS q, unnest(range(drift + 1)) AS j, CAST(0 AS BIGINT) AS best FROM candidates
+  UNION ALL
+  SELECT r, t, d, n, q + 1, j, max(grown) OVER (PARTITION BY r, t, d ORDER BY j)
+  FROM (
+    SELECT s.r, s.t, s.d, s.n, s.q, s.j,
+           greatest(best + CASE WHEN c.q IS NULL THEN 0 ELSE 1 END,
+                    coalesce(lead(best) OVER (PARTITION BY s.r, s.t, s.d ORDER BY s.j), 0)) AS grown
+    FROM steps s LEFT JOIN cells c ON c.r = s.r AND c.t = s.t AND c.d = s.d + s.j AND c.q = s.q + 1
+    WHERE s.q + 1 < s.n
+  )
+),
+verified AS (
+  SELECT r, t, d, max(best) / n AS share FROM steps WHERE q = n - 1 GROUP BY r, t, d, n
+  HAVING max(best) / n >= CAST({license_scan.COVERAGE} AS DOUBLE)
+),
+chosen AS (
+  SELECT v.r, label, share FROM verified v JOIN templates USING (t)
+  WHERE NOT EXISTS (
+    FROM verified o WHERE o.r = v.r AND o.t = v.t AND abs(o.d - v.d) <= drift AND (o.share > v.share OR (o.share = v.share AND o.d < v.d))
+  )
+),
+named AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT r, label FROM phrases UNION SELECT r, label FROM chosen) GROUP BY r
+),
+scored AS (SELECT r, max(share) AS score FROM chosen GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM docs LEFT JOIN based USING (r) LEFT JOIN named USING (r) LEFT JOIN scored USING (r)
+"""
