@@ -193,12 +193,14 @@ def scan(
             F.array().cast("array<string>"),
         ).alias("words"),
     )
+    words = words.withColumn("n_words", F.size("words"))
     # Place -1 stands for the text itself, so that every row survives the join.
     places = words.select(
         "doc_id",
         "text_key",
         "words",
-        F.explode(F.sequence(F.lit(-1), F.greatest(F.size("words") - GRAM, F.lit(-1)))).alias("place"),
+        "n_words",
+        F.explode(F.sequence(F.lit(-1), F.greatest(F.col("n_words") - GRAM, F.lit(-1)))).alias("place"),
     )
     each = F.when(F.col("place") < 0, F.array(F.lit(0))).otherwise(F.array(*[F.lit(k) for k in lengths]))
     hashed = places.withColumn("k", F.explode(each)).withColumn(
@@ -211,9 +213,11 @@ def scan(
         & (F.slice("words", F.greatest(F.col("place") + 1, F.lit(1)), F.col("k")) == F.col("gram")),
         "left",
     ).where((F.col("place") < 0) | F.col("t").isNotNull())
-    diagonals = met.groupBy("doc_id", "text_key", "t", (F.col("place") - F.col("at")).alias("diagonal")).agg(
+    # Only narrow rows reach the aggregate, which sorts them once it holds many groups.
+    met = met.select("doc_id", "text_key", "t", "at", "n_words", (F.col("place") - F.col("at")).alias("diagonal"))
+    diagonals = met.groupBy("doc_id", "text_key", "t", "diagonal").agg(
         F.array_sort(F.collect_set("at")).alias("votes"),
-        F.max(F.size("words")).alias("n_words"),
+        F.max("n_words").alias("n_words"),
         F.count("*").alias("times"),
     )
     n, k = _of_template([len(w) for _, w, _, _ in entries]), _of_template([k for _, _, k, _ in entries])
