@@ -122,20 +122,28 @@ def hits(text):
     return words, marked, tuple(sorted(str(x) for x in found if x is not None))
 
 
-@pytest.mark.parametrize("block", [decontaminate.BLOCK_CHARS, 150])
-def test_decontamination(docs, items, rows, block):
-    got = decontaminate.find_contamination(docs, items, block_chars=block).collect()
+@pytest.mark.parametrize(("block", "chunk"), [(decontaminate.BLOCK_CHARS, decontaminate.CHUNK_BYTES), (150, 2000)])
+def test_decontamination(docs, items, rows, block, chunk):
+    got = decontaminate.find_contamination(docs, items, block_chars=block, chunk_bytes=chunk).collect()
     want = [(r[0], len(w), len(m), f) for r in rows for w, m, f in [hits(r[1])]]
     same([(r.doc_id, r.n_words, r.n_hit, tuple(r.item_ids)) for r in got], want)
     texts = {r[0]: r[1] for r in rows}
     for r in got:
         if r.n_hit:
             assert sum(len(fold(texts[r.doc_id][s.start : s.end])) for s in r.spans) == r.n_hit
-    kept = decontaminate.drop_contaminated(docs, items, block_chars=block)
+    kept = decontaminate.drop_contaminated(docs, items, block_chars=block, chunk_bytes=chunk)
     assert kept.schema == docs.schema
     same([tuple(r) for r in kept.collect()], [r for r in rows if not hits(r[1])[1]])
 
 
+def test_texts_are_read_once(spark, items):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet")
+    assert decontaminate._blocks(items.select("item_id", "text"), 10, 50)[1] > 1
+    found = decontaminate.find_contamination(docs, items, block_chars=50)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "documents.parquet" in plan and "Exchange" not in plan
+
+
 # -- lines -------------------------------------------------------------------
 
 

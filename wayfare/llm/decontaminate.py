@@ -3,7 +3,8 @@
 Test items are normalised to folded words and cut into windows of ten words.
 All windows form one automaton; every text is normalised the same way and runs
 through it once. Matches are kept as word positions and mapped back to offsets
-in the original text.
+in the original text. The windows lie in the shared folder; tasks read them
+there, and the texts are read once however many windows there are.
 
 Nulls, empty texts and texts without words have no hits. An item without words
 has no window; one without an id marks words but is not listed. Repeated rows
@@ -18,32 +19,24 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.llm.common import folded_words, one_of_each, texts
+from wayfare.llm.token_files import _file_system
 from wayfare.session import new_run_dir, store
 
 WINDOW = 10
 # An automaton holds windows of this many characters at most. A larger test
-# set is scanned in several passes, one automaton each.
+# set has several, which a task builds one after the other for the texts it holds.
 BLOCK_CHARS = 4_000_000
+# A task holds texts of about this many bytes at a time.
+CHUNK_BYTES = 64 << 20
 
 _ORIGINAL_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-_MATCHES = "__matches"
-_MATCH_TYPE = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("first", T.IntegerType()),
-            T.StructField("last", T.IntegerType()),
-            T.StructField("item", T.StringType()),
-        ]
-    )
-)
-_ARROW_MATCHES = pa.list_(
-    pa.struct([("first", pa.int32()), ("last", pa.int32()), ("item", pa.string())])
-)
 FINDINGS = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
@@ -141,90 +134,81 @@ def findings(text: str | None, n_words: int, matches: list) -> tuple[int, list[s
     return int(hit.sum()), sorted({m[2] for m in matches if m[2] is not None}), spans
 
 
-_SCANNERS: dict[int, Scanner] = {}
-
-
-def _scanner(shared) -> Scanner:
-    """The automaton of a broadcast block, built once per Python worker."""
-    if shared.id not in _SCANNERS:
-        _SCANNERS.clear()
-        _SCANNERS[shared.id] = Scanner(shared.value)
-    return _SCANNERS[shared.id]
-
-
-class _Key:
-    """A broadcast block with an id that survives pickling."""
-
-    def __init__(self, broadcast):
-        self.broadcast, self.id = broadcast, broadcast._jbroadcast.id()
-
-    def __getstate__(self):
-        return {"broadcast": self.broadcast, "id": self.id}
-
-    @property
-    def value(self):
-        return self.broadcast.value
-
-
-def _blocks(items: DataFrame, window: int, block_chars: int) -> list:
-    """Broadcast blocks of (item, pattern) pairs, each of a bounded size."""
-    spark = items.sparkSession
-    pairs = store(item_windows(items, window), new_run_dir(spark, "windows"))
+def _blocks(items: DataFrame, window: int, block_chars: int) -> tuple[str, int]:
+    """The windows in the shared folder, one folder per block of a bounded size: (folder, blocks)."""
+    run = new_run_dir(items.sparkSession, "windows")
+    pairs = store(item_windows(items, window), f"{run}/all")
     chars = pairs.agg(F.sum(F.length("pattern") + F.length(F.coalesce("item", F.lit(""))))).first()[0]
     n = -(-(chars or 0) // block_chars) or 1
-    out = []
-    for k in range(n):
-        part = pairs.where(F.pmod(F.xxhash64("pattern", "item"), F.lit(n)) == k).toArrow()
-        out.append(
-            _Key(
-                spark.sparkContext.broadcast(
-                    list(zip(part["item"].to_pylist(), part["pattern"].to_pylist(), strict=True))
-                )
-            )
-        )
-    return out
+    block = F.pmod(F.xxhash64("pattern", "item"), F.lit(n)).alias("block")
+    store(pairs.select("item", "pattern", block).repartition("block"), f"{run}/blocks", ["block"])
+    return f"{run}/blocks", n
+
 
+_SCANNERS: dict[tuple[str, int], Scanner] = {}
 
-def _passes(
-    docs: DataFrame, items: DataFrame, window: int, block_chars: int, finish, schema: T.StructType
+
+def _scanner(folder: str, block: int) -> Scanner:
+    """The automaton of a block; a Python worker holds one at a time."""
+    if (folder, block) not in _SCANNERS:
+        _SCANNERS.clear()
+        store_of, path = _file_system(folder)
+        listed = store_of.get_file_info(fs.FileSelector(f"{path}/block={block}", allow_not_found=True))
+        pairs = []
+        for info in listed:
+            if info.base_name.endswith(".parquet") and not info.base_name.startswith((".", "_")):
+                with store_of.open_input_file(info.path) as file:
+                    part = pq.ParquetFile(file).read(["item", "pattern"])
+                pairs += zip(part["item"].to_pylist(), part["pattern"].to_pylist(), strict=True)
+        _SCANNERS[folder, block] = Scanner(pairs)
+    return _SCANNERS[folder, block]
+
+
+def _held(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches until their texts reach a size."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column("text").nbytes
+        if size >= chunk_bytes:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _scanned(
+    docs: DataFrame, items: DataFrame, window: int, block_chars: int, chunk_bytes: int, finish, schema: T.StructType
 ) -> DataFrame:
-    """Scan `docs` once per block; the last pass hands batch, words and matches to `finish`."""
-    blocks = _blocks(items, window, block_chars)
-    columns = docs.columns
-    for k, block in enumerate(blocks):
-        last = k + 1 == len(blocks)
-        carried = k > 0
-
-        def scan(batches, block=block, last=last, carried=carried):
-            scanner = _scanner(block)
-            for batch in batches:
-                before = batch.column(len(columns)).to_pylist() if carried else None
-                counts, found = [], []
-                for i, text in enumerate(texts(batch, "text")):
-                    words = folded_words(text)
-                    now = scanner.matches(words)
-                    if before and before[i]:
-                        now += [(m["first"], m["last"], m["item"]) for m in before[i]]
-                    counts.append(len(words))
-                    found.append(now)
-                plain = batch.select(columns)
-                if last:
-                    yield finish(plain, counts, found)
-                else:
-                    yield pa.RecordBatch.from_arrays(
-                        [*plain.columns, pa.array(found, _ARROW_MATCHES)], [*columns, _MATCHES]
-                    )
-
-        if last:
-            docs = docs.mapInArrow(scan, schema)
-        else:
-            widened = T.StructType([*docs.schema.fields[: len(columns)], T.StructField(_MATCHES, _MATCH_TYPE)])
-            docs = store(docs.mapInArrow(scan, widened), new_run_dir(docs.sparkSession, "scan"))
-    return docs
+    """Run `docs` through all blocks in one pass; `finish` gets batch, words and matches."""
+    folder, blocks = _blocks(items, window, block_chars)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = list(range(blocks))
+        for held in _held(batches, chunk_bytes):
+            counts = [[0] * len(batch) for batch in held]
+            found = [[[] for _ in range(len(batch))] for batch in held]
+            for block in order:
+                scanner = _scanner(folder, block)
+                for batch, count, matches in zip(held, counts, found, strict=True):
+                    for i, text in enumerate(texts(batch, "text")):
+                        words = folded_words(text)
+                        count[i] = len(words)
+                        matches[i] += scanner.matches(words)
+            # The last block's automaton is there already.
+            order.reverse()
+            for batch, count, matches in zip(held, counts, found, strict=True):
+                yield finish(batch, count, matches)
+
+    return docs.mapInArrow(scan, schema)
 
 
 def find_contamination(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    block_chars: int = BLOCK_CHARS,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """`docs(doc_id, text)`, `items(item_id, text)` -> one row per document.
 
@@ -248,15 +232,19 @@ def find_contamination(
             ["doc_id", *[name for name, _ in _ARROW_FINDINGS]],
         )
 
-    return _passes(docs, one_of_each(items, "item_id", "text"), window, block_chars, finish, schema)
+    return _scanned(docs, one_of_each(items, "item_id", "text"), window, block_chars, chunk_bytes, finish, schema)
 
 
 def drop_contaminated(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    block_chars: int = BLOCK_CHARS,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """The rows of `docs`, all columns, whose text contains no window of an item."""
 
     def finish(batch, counts, found):
         return batch.filter(pa.array([not matches for matches in found], pa.bool_()))
 
-    return _passes(docs, one_of_each(items, "item_id", "text"), window, block_chars, finish, docs.schema)
+    return _scanned(docs, one_of_each(items, "item_id", "text"), window, block_chars, chunk_bytes, finish, docs.schema)
