@@ -175,6 +175,15 @@ def test_conversions_of_a_day_open_with_one_marker(spark):
     assert attribution.conversion_spans(axis).where("n_touches = 1").count() == 500
 
 
+def test_the_axis_holds_only_people_with_touches_and_conversions(spark):
+    """Others can never meet, so their rows are not shuffled, counted and stored."""
+    touches = [(f"t{u}", ORDER - timedelta(days=2), "ga4", "email", u) for u in ("both", "visitor", None)]
+    t, c = frames(spark, touches, [("o1", ORDER, 1.0, "both"), ("o2", ORDER, 1.0, "buyer"), ("o3", ORDER, 1.0, None)])
+    axis = attribution.touch_axis(t, c, 30)
+    assert sorted((r.unified_user_id, r.mark) for r in axis.collect()) == [("both", "hi"), ("both", "lo"), ("both", "touch")]
+    assert [r.conversion_id for r in attribution.conversion_channels(axis).collect()] == ["o1"]
+
+
 def test_pairs_are_not_regrouped(spark):
     touches, convs = skewed(n=60)
     t, c = frames(spark, touches, convs)

@@ -86,3 +86,17 @@ def test_running_sums_equal_a_plain_window_under_a_hot_key(spark):
         totals[key] = (s + v, n + 1)
         want[i] = totals[key]
     assert {r.id: (r.s, r.n) for r in got.collect()} == want
+
+
+def test_the_grid_of_running_sums_has_days_and_minutes_of_full_days(spark):
+    """A key's rows of a day are one cell; only in a day with too many rows each minute is."""
+    start = datetime(2024, 1, 1, 0, 30)
+    rows = [("k", start + timedelta(minutes=i % 50, days=i // 50), i) for i in range(150)] + [
+        ("full", start + timedelta(minutes=i // 4), i) for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, id int")
+    slots = df.withColumn("_slot", timeutil.minute_number(F.col("t")))
+    cells = grid._in_cells(slots, "k", ["t", "id"], 100).groupBy("k").agg(F.count_distinct("_slot", "_block").alias("n"))
+    assert {r.k: r.n for r in cells.collect()} == {"k": 3, "full": 100}
+    got = grid.running_sums(df, "k", "t", ["t", "id"], {"n": F.lit(1)}, full=100)
+    assert sorted((r.k, r.id, r.n) for r in got.collect()) == sorted((k, i, i + 1) for k, _, i in rows)

@@ -1,13 +1,13 @@
 """Ordered computations over keys that may be very hot.
 
 A plain window over a key sorts all rows of that key in one task, and one key
-may hold a third of the table. The functions here go through a minute grid:
-rows are first pre-aggregated to (key, minute), which map-side combining makes
-small and which calendar time bounds (about half a million minutes a year,
-whatever the row count); the only window over a whole key runs on that grid.
-The result goes back to the rows by an equi-join on (key, minute), which
-spreads a hot key over its minutes and which adaptive execution can split. A
-minute that is itself too full is cut into blocks of rows, a second level.
+may hold a third of the table. The functions here go through a grid in time:
+rows are first pre-aggregated to (key, day), or to (key, minute) in the days of
+a key that are too full, which calendar time bounds (about half a million
+minutes a year, whatever the row count); the only window over a whole key runs
+on that grid. The result goes back to the rows by an equi-join on the cell,
+which spreads a hot key over its minutes and which adaptive execution can split.
+A minute that is itself too full is cut into blocks of rows, a further level.
 """
 
 from __future__ import annotations
@@ -18,12 +18,31 @@ from pyspark.sql import functions as F
 from wayfare.functions.timeutil import minute_number
 
 
-# Rows of a key in one minute above which the minute is cut into blocks of about so many.
+# Rows of a key in one day above which the day is cut into minutes, and a minute into blocks of about so many.
 FULL_MINUTE = 100_000
+# Counters of the first look for full cells.
+_COUNTERS = 4096
+_DAY = 1440
 # Rows drawn, by their hash, for each block.
 _DRAWN = 8
 
 
+def _full_cells(rows: DataFrame, cell: list[str], full: int) -> DataFrame | None:
+    """The cells with more than `full` rows, None where there is none.
+
+    Cells share a few thousand counters, so that this look shuffles next to
+    nothing; only those of a counter above `full` are counted one by one.
+    """
+    counter = F.pmod(F.xxhash64(*cell), F.lit(_COUNTERS))
+    counted = rows.groupBy(counter.alias("_counter")).agg(F.count(F.lit(1)).alias("_rows"))
+    above = [r._counter for r in counted.where(F.col("_rows") > full).collect()]
+    if not above:
+        return None
+    near = rows.where(counter.isin(above)).groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
+    cells = near.where(F.col("_rows") > full).select(*cell)
+    return None if cells.isEmpty() else cells
+
+
 def in_blocks(rows: DataFrame, key: str, order_by: list[str], full: int = FULL_MINUTE) -> DataFrame:
     """`rows` of (key, _slot) with `_block`: 0, or in a full minute the number of the block in order.
 
@@ -31,8 +50,8 @@ def in_blocks(rows: DataFrame, key: str, order_by: list[str], full: int = FULL_M
     row's block is the number of splitters at or before it. Blocks hold about
     `full` rows, also where all rows of the minute have the same time.
     """
-    sizes = rows.groupBy(key, "_slot").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > full)
-    if sizes.isEmpty():
+    sizes = _full_cells(rows, [key, "_slot"], full)
+    if sizes is None:
         return rows.withColumn("_block", F.lit(0))
     order = F.struct(*order_by)
     drawn = rows.where(F.pmod(F.xxhash64(*order_by), F.lit(max(1, full // _DRAWN))) == 0)
@@ -52,6 +71,18 @@ def in_blocks(rows: DataFrame, key: str, order_by: list[str], full: int = FULL_M
     )
 
 
+def _in_cells(rows: DataFrame, key: str, order_by: list[str], full: int) -> DataFrame:
+    """`rows` of (key, _slot) in minutes, with `_slot` moved to the start of its day unless the key's day is full."""
+    day = F.col("_slot") - F.pmod(F.col("_slot"), F.lit(_DAY))
+    dated = rows.withColumn("_day", day)
+    days = _full_cells(dated, [key, "_day"], full)
+    if days is None:
+        return dated.withColumn("_slot", F.col("_day")).drop("_day").withColumn("_block", F.lit(0))
+    slot = F.when(F.col("_is_full"), F.col("_slot")).otherwise(F.col("_day"))
+    mixed = dated.join(days.withColumn("_is_full", F.lit(True)), [key, "_day"], "left").withColumn("_slot", slot)
+    return in_blocks(mixed.select(*rows.columns), key, order_by, full)
+
+
 def running_sums(
     df: DataFrame,
     key: str,
@@ -64,12 +95,12 @@ def running_sums(
     """`sum(measure) over (partition by key order by order_by rows to current)` per measure, as `kind`.
 
     `order_by` starts with `ts` and must be a total order. Rows with a NULL
-    key or time have no place on the grid and are left out. A minute with more
-    than `full` rows of a key is cut into blocks, which are scanned one by one
-    and take their place on the grid behind the minute.
+    key or time have no place on the grid and are left out. A day with more than
+    `full` rows of a key is cut into minutes, and such a minute into blocks,
+    which are scanned one by one and take their place on the grid behind the minute.
     """
     known = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    rows = in_blocks(
+    rows = _in_cells(
         known.select(
             "*",
             minute_number(F.col(ts)).alias("_slot"),

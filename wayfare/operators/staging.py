@@ -91,14 +91,15 @@ def orders(bronze: DataFrame) -> DataFrame:
 
     Shops deliver the same order again on later days, often corrected. The
     delivery day `dt` decides where the table has one; the trailing sort keys
-    make the choice total. Orders without an id are all kept.
+    make the choice total. Orders without an id are all kept. The e-mail's hash
+    is shuffled as 32 bytes, which sort like its 64 hexadecimal digits.
     """
     delivered = F.col("dt") if "dt" in bronze.columns else F.lit(None).cast("date")
     rows = consented(bronze).select(
         delivered.alias("_delivered"),
         "order_id",
         F.col("customer_id").alias("shopify_customer_id"),
-        email_hash(F.col("email")).alias("email_hash"),
+        F.unhex(email_hash(F.col("email"))).alias("email_hash"),
         F.col("created_at").cast("timestamp_ntz").alias("order_ts"),
         F.col("total_price_eur").cast("double").alias("total_price_eur"),
         "currency",
@@ -122,7 +123,8 @@ def orders(bronze: DataFrame) -> DataFrame:
         .where(F.col("_rn") == 1)
         .drop("_rn")
     )
-    return latest.unionByName(rows.where(F.col("order_id").isNull())).drop("_delivered")
+    kept = latest.unionByName(rows.where(F.col("order_id").isNull())).drop("_delivered")
+    return kept.withColumn("email_hash", F.lower(F.hex("email_hash")))
 
 
 def customer_versions(bronze: DataFrame) -> DataFrame:
