@@ -10,6 +10,7 @@ from wayfare.params import Params
 from wayfare.plans import erasure
 from wayfare.plans.warehouse import Warehouse
 from wayfare.session import new_run_dir, store
+from wayfare.sources import published
 from wayfare.sources.published import drop_replaced, files_of, publish, publish_without, read_published
 from wayfare.sources.testbed import load_bronze
 
@@ -190,6 +191,23 @@ def test_erasure_writes_only_files_that_hold_the_person(spark, tmp_path):
     assert {"u7", "u9"}.isdisjoint(r[0] for r in left)
 
 
+def test_files_with_forgotten_people_are_found_by_a_few_of_them(spark, tmp_path, monkeypatch):
+    """Where people lie in all files, a few keys settle all; where not, the other keys find the rest."""
+    df = spark.range(400).selectExpr("concat('u', id % 40) AS unified_user_id", "concat('s', id div 40 % 4) AS raw_source", "id AS x")
+    lone = spark.range(1).selectExpr("'u99' AS unified_user_id", "'s9' AS raw_source", "id AS x")
+    table = publish(df.unionByName(lone).coalesce(1), f"{tmp_path}/v0", "identity_graph")
+    files, passes, scan = files_of(table), [], published._scan
+    monkeypatch.setattr(published, "PROBED", 3)
+    monkeypatch.setattr(published, "_scan", lambda *a: passes.append(len(a[3])) or scan(*a))
+    keys = spark.createDataFrame([(f"u{i}",) for i in [*range(20), 99]], "unified_user_id string").coalesce(1)
+    spread = [f for f in files if "raw_source=s9" not in f]
+    assert published._files_with(table, "identity_graph", spread, keys) == set(spread) and passes == [4]
+    passes.clear()
+    assert published._files_with(table, "identity_graph", files, keys) == set(files) and passes == [5, 1]
+    after = publish_without(table, "identity_graph", keys, f"{tmp_path}/v1")
+    assert {r.unified_user_id for r in after.collect()} == {f"u{i}" for i in range(20, 40)}
+
+
 def test_erasure_of_nobody_writes_no_rows_and_of_all_leaves_an_empty_table(spark, tmp_path):
     df = spark.createDataFrame([("u", "s", 1)], "unified_user_id string, raw_source string, x int")
     table = publish(df, f"{tmp_path}/v0", "identity_graph")

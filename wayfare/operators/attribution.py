@@ -19,33 +19,18 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.grid import running_sums
 from wayfare.functions.timeutil import day_number, day_start, second_number, seconds_between
-from wayfare.operators.touchpoints import in_window_pairs
+from wayfare.operators.touchpoints import in_window_pairs, of_both
 from wayfare.params import CHANNEL_KEYS, MODELS
-from wayfare.session import new_run_dir, store
 
 _COUNTS = [f"n_{c}" for c in CHANNEL_KEYS]
 
 
-def _of_both(touches: DataFrame, convs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The touches and conversions of people who have both: nobody else's can meet.
-
-    People are compared by a hash, which keeps a few more at worst. The hashes
-    are written once, so that the engine knows their size when it plans the joins.
-    """
-    spark, person = touches.sparkSession, F.xxhash64("unified_user_id")
-    buyers = convs.select(person.alias("_person")).distinct()
-    touched = touches.select(person.alias("_person")).distinct()
-    both = store(touched.join(buyers, "_person", "left_semi"), f"{new_run_dir(spark, 'people')}/both")
-    kept = [df.withColumn("_person", person).join(both, "_person", "left_semi").drop("_person") for df in (touches, convs)]
-    return kept[0], kept[1]
-
-
 def touch_axis(touches: DataFrame, convs: DataFrame, window_days: int) -> DataFrame:
     """Touches and conversion markers with running touch counts per channel.
 
     Only people with touches and conversions are on the axis.
     """
-    touches, convs = _of_both(touches, convs)
+    touches, convs = of_both(touches, convs)
     opens = day_start(F.date_sub(F.col("conversion_ts").cast("date"), window_days))
     closing = convs.select(
         "unified_user_id",

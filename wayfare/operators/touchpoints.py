@@ -9,6 +9,7 @@ from wayfare.functions.keys import node_id
 from wayfare.functions.timeutil import day_number
 from wayfare.operators.identity import people
 from wayfare.params import CUSTOMER, PIXEL_COOKIE, SUBSCRIBER, WEB_COOKIE
+from wayfare.session import new_run_dir, store
 
 
 def all_touches(
@@ -65,6 +66,20 @@ def with_buyer(orders: DataFrame, graph: DataFrame, how: str) -> DataFrame:
     )
 
 
+def of_both(touches: DataFrame, convs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The touches and conversions of people who have both: nobody else's can meet.
+
+    People are compared by a hash, which keeps a few more at worst. The hashes
+    are written once, so that the engine knows their size when it plans the joins.
+    """
+    spark, person = touches.sparkSession, F.xxhash64("unified_user_id")
+    buyers = convs.select(person.alias("_person")).distinct()
+    touched = touches.select(person.alias("_person")).distinct()
+    both = store(touched.join(buyers, "_person", "left_semi"), f"{new_run_dir(spark, 'people')}/both")
+    kept = [df.withColumn("_person", person).join(both, "_person", "left_semi").drop("_person") for df in (touches, convs)]
+    return kept[0], kept[1]
+
+
 def window_buckets(day: Column, window_days: int) -> Column:
     """The buckets, each one window wide, that a conversion on `day` can reach back into."""
     width = window_days + 1
@@ -104,7 +119,7 @@ def touchpoints_enriched(touches: DataFrame, convs: DataFrame, window_days: int)
     before = (F.col("touchpoint_ts") < F.col("conversion_ts")) & (
         F.col("_conv_day") - F.col("_day") <= window_days
     )
-    return in_window_pairs(touches, convs, window_days, before).select(
+    return in_window_pairs(*of_both(touches, convs), window_days, before).select(
         "touchpoint_id",
         "touchpoint_ts",
         "source",

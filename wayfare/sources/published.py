@@ -23,6 +23,8 @@ PARTITIONED = {
     "touch_axis": "mark",
     "fct_touchpoints": "touchpoint_date",
 }
+# Keys that are looked for first when rows are dropped.
+PROBED = 10_000
 # Tables with many folder values: rows are gathered by value before writing, or
 # each task would leave a small file in every folder. Adaptive execution sizes
 # the gathered partitions and splits a value that is too large for one file.
@@ -75,20 +77,38 @@ def _scan(spark: SparkSession, schema: T.StructType, name: str, files: list[str]
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
+def _files_with(table: DataFrame, name: str, files: list[str], keys: DataFrame) -> set[str]:
+    """Those of a table's files that have a row with one of `keys`.
+
+    A few keys go to all files at once, so that where rows lie spread over them
+    most files are found without a shuffle. What is left meets all keys, each
+    key of a file once.
+    """
+    spark, (key,) = table.sparkSession, keys.columns
+    probe, found = keys.limit(PROBED), set()
+    for wanted in [F.broadcast(probe)] + ([keys] if files and probe.count() == PROBED else []):
+        left = [f for f in files if f not in found]
+        if not left:
+            break
+        where = _scan(spark, table.schema, name, left, key, F.col("_metadata.file_path").alias("_file"))
+        if wanted is keys:
+            where = where.distinct()
+        held = where.join(wanted, key, "left_semi").select("_file").distinct()
+        found |= {_path(r._file) for r in held.collect()}
+    return found
+
+
 def publish_without(table: DataFrame, name: str, keys: DataFrame, target: str) -> DataFrame:
     """A version of a stored table under `target`, without the rows that have one of `keys`.
 
     `keys` has one column, of the same name in the table; rows without a value
-    there stay. One pass reads that column and finds the files with such rows;
+    there stay. Passes over that column alone find the files with such rows;
     only those are written again, all others are shared with the version that
     `table` was read from. File names, not rows, come to the driver.
     """
     spark, (key,) = table.sparkSession, keys.columns
-    files, touched = files_of(table), set()
-    if files:
-        where = _scan(spark, table.schema, name, files, key, F.col("_metadata.file_path").alias("_file"))
-        held = where.join(keys, key, "left_semi").select("_file").distinct()
-        touched = {_path(r._file) for r in held.collect()}
+    files = files_of(table)
+    touched = _files_with(table, name, files, keys)
     shared = [f for f in files if f not in touched]
     if len(shared) + len(touched) != len(files):
         raise ValueError(f"{name}: the table's files go by other names in its rows")
