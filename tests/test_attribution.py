@@ -184,6 +184,16 @@ def test_the_axis_holds_only_people_with_touches_and_conversions(spark):
     assert [r.conversion_id for r in attribution.conversion_channels(axis).collect()] == ["o1"]
 
 
+def test_only_people_with_both_enter_the_interval_join(spark):
+    touches = [(f"t{u}", ORDER - timedelta(days=2), "ga4", "email", u) for u in ("both", "visitor", None)]
+    t, c = frames(spark, touches, [("o1", ORDER, 1.0, "both"), ("o2", ORDER, 1.0, "buyer"), ("o3", ORDER, 1.0, None)])
+    left, right = touchpoints.of_both(t, c)
+    assert "visitor" not in {r.unified_user_id for r in left.collect()}
+    assert "buyer" not in {r.unified_user_id for r in right.collect()}
+    pairs = touchpoints.touchpoints_enriched(t, c, 30)
+    assert [(r.touchpoint_id, r.conversion_id) for r in pairs.collect()] == [("tboth", "o1")]
+
+
 def test_pairs_are_not_regrouped(spark):
     touches, convs = skewed(n=60)
     t, c = frames(spark, touches, convs)

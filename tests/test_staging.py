@@ -1,3 +1,4 @@
+import hashlib
 from datetime import date, datetime
 
 import pytest
@@ -94,3 +95,19 @@ def test_an_order_delivered_again_counts_once(spark):
     got = staging.orders(bronze)
     assert "dt" not in got.columns
     assert sorted(((r.order_id or "", r.total_price_eur) for r in got.collect())) == [("", 1.0), ("", 1.0), ("o1", 12.0), ("o2", 5.0)]
+
+
+def test_orders_are_shuffled_with_the_hash_as_bytes(spark):
+    """Ties are still decided by the hash's text, and the result holds that text."""
+    mails = ["a@b", " A@c ", None, "d@e"]
+    bronze = spark.createDataFrame(
+        [("o1", 1, m, "2024-03-01 10:00:00", 1.0, "EUR", "paid", "f", "BE", "granted") for m in mails],
+        "order_id string, customer_id long, email string, created_at string, total_price_eur double, currency string, "
+        "financial_status string, fulfillment_status string, country string, consent_status string",
+    )
+    got = staging.orders(bronze)
+    hashes = [hashlib.sha256(m.strip().lower().encode()).hexdigest() for m in mails if m]
+    assert [r.email_hash for r in got.collect()] == [max(hashes)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window") :]
+    assert "unhex" in below
