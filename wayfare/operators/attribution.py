@@ -369,9 +369,14 @@ def reconcile(facts: DataFrame) -> DataFrame:
     )
 
 
-def _decay_sums(axis: DataFrame, window_days: int, half_life_days: float, lane: list[str], sums: dict[str, Column]) -> DataFrame:
+def _decay_sums(
+    axis: DataFrame, window_days: int, half_life_days: float, lane: list[str], sums: dict[str, Column], counts: list[str] = []
+) -> DataFrame:
     """Per closing marker: the decayed count of touches in its window, under each condition of `sums`.
 
+    `n_all` is their plain count, and `counts` names running counts of the axis
+    whose growth over the window is given as well; all of these are exact.
+
     2^(-(c - t) / h) is a factor of the touch times one of the conversion, so the
     sum over a window is a difference of two prefix sums of the touches' factor.
     The axis is cut into blocks of a window's width. Factors count from the
@@ -382,15 +387,17 @@ def _decay_sums(axis: DataFrame, window_days: int, half_life_days: float, lane:
     width = window_days + 1
     seconds = F.lit(width * 86400).cast("long")
     block = F.floor(day_number(F.col("axis_ts")) / width)
-    point = axis.drop("touch_rank", *_COUNTS).withColumn("block", block).withColumn("lane", F.struct(*lane, "block"))
+    unused = [c for c in ("touch_rank", *_COUNTS) if c not in counts]
+    point = axis.drop(*unused).withColumn("block", block).withColumn("lane", F.struct(*lane, "block"))
     rate = F.lit(half_life_days * 86400.0)
     factor = F.pow(F.lit(2.0), (second_number(F.col("axis_ts")) - F.col("block") * seconds).cast("double") / rate)
     mass = {name: F.when((F.col("mark") == "touch") & holds, factor).otherwise(F.lit(0.0)) for name, holds in sums.items()}
+    mass["n_all"] = (F.col("mark") == "touch").cast("double")
     counted = running_sums(
         point, key="lane", ts="axis_ts", order_by=["axis_ts", "mark", "source", "id"], measures=mass, kind="double"
     )
     wholes = point.groupBy(*lane, F.col("block").alias("lo_block")).agg(*[F.sum(m).alias(f"all_{n}") for n, m in mass.items()])
-    spans = _spans(counted, ["block", *sums], lane).join(wholes, [*lane, "lo_block"])
+    spans = _spans(counted, ["block", *mass, *counts], lane).join(wholes, [*lane, "lo_block"])
 
     def since(start: Column) -> Column:
         return F.pow(F.lit(2.0), -(second_number(F.col("conversion_ts")) - start * seconds).cast("double") / rate)
@@ -400,8 +407,14 @@ def _decay_sums(axis: DataFrame, window_days: int, half_life_days: float, lane:
         across = high * since(F.col("hi_block")) + (F.col(f"all_{name}") - low) * since(F.col("lo_block"))
         return F.when(F.col("lo_block") == F.col("hi_block"), (high - low) * since(F.col("hi_block"))).otherwise(across)
 
+    all_between = F.when(F.col("lo_block") == F.col("hi_block"), F.lit(0.0)).otherwise(F.col("all_n_all"))
     return spans.select(
-        "conversion_id", "conversion_value_eur", *lane, *[decayed(name).alias(name) for name in sums]
+        "conversion_id",
+        "conversion_value_eur",
+        *lane,
+        *[decayed(name).alias(name) for name in sums],
+        (F.col("hi_n_all") + all_between - F.col("lo_n_all")).alias("n_all"),
+        *[(F.col(f"hi_{c}") - F.col(f"lo_{c}")).alias(c) for c in counts],
     )
 
 
@@ -439,31 +452,30 @@ def time_decay(
 def time_decay_channels(axis: DataFrame, window_days: int, half_life_days: float) -> DataFrame:
     """Decayed credit per (conversion, channel): touches and conversions never meet in pairs."""
     listed = {"total": F.lit(True)} | {
-        name: F.coalesce(F.col("channel_key") == key, F.lit(False)) for name, key in zip(_COUNTS, CHANNEL_KEYS)
+        f"mass_{key}": F.coalesce(F.col("channel_key") == key, F.lit(False)) for key in CHANNEL_KEYS
     }
-    sums = _decay_sums(axis, window_days, half_life_days, ["unified_user_id"], listed)
+    sums = _decay_sums(axis, window_days, half_life_days, ["unified_user_id"], listed, _COUNTS).where("conversion_id is not null")
     per_channel = F.explode(
         F.array(
-            *[F.struct(F.lit(key).alias("channel_key"), F.col(c).alias("mass")) for key, c in zip(CHANNEL_KEYS, _COUNTS)]
+            *[
+                F.struct(F.lit(key).alias("channel_key"), F.col(f"mass_{key}").alias("mass"), F.col(c).alias("touches"))
+                for key, c in zip(CHANNEL_KEYS, _COUNTS)
+            ]
         )
     )
     # A difference of prefix sums leaves a trace where a channel has no touch; the exact counts say where.
-    has = conversion_spans(axis).select("conversion_id", F.array(*_COUNTS).alias("counts"))
-    place = {key: i for i, key in enumerate(CHANNEL_KEYS)}
-    index = F.coalesce(*[F.when(F.col("c.channel_key") == key, F.lit(i)) for key, i in place.items()])
     rows = (
-        sums.join(has, "conversion_id")
-        .select("conversion_id", "conversion_value_eur", "total", "counts", per_channel.alias("c"))
-        .where(F.get("counts", index) > 0)
+        sums.select("conversion_id", "conversion_value_eur", "total", per_channel.alias("c"))
+        .where(F.col("c.touches") > 0)
         .select("conversion_id", "conversion_value_eur", "total", "c.channel_key", "c.mass")
     )
     lanes = _lanes(axis)
     other = _decay_sums(lanes, window_days, half_life_days, ["unified_user_id", "lane_channel"], {"mass": F.lit(True)})
-    counts = unlisted_counts(axis).select(F.col("conversion_id").alias("of"), F.col("channel_key").alias("named"))
+    totals = decay_totals(axis, window_days, half_life_days)
     unlisted = (
-        other.withColumn("channel_key", F.get_json_object("lane_channel", "$.channel_key"))
-        .join(counts, (F.col("conversion_id") == F.col("of")) & F.col("channel_key").eqNullSafe(F.col("named")), "left_semi")
-        .join(sums.select("conversion_id", "total"), "conversion_id")
+        other.where("n_all > 0")
+        .withColumn("channel_key", F.get_json_object("lane_channel", "$.channel_key"))
+        .join(totals, "conversion_id")
         .select("conversion_id", "conversion_value_eur", "total", "channel_key", "mass")
     )
     weight = F.col("mass") / F.col("total")
