@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wayfare.operators import attribution, touchpoints
 from wayfare.params import CHANNEL_KEYS
+from wayfare.plans.warehouse import Warehouse
 
 TOUCH = "touchpoint_id string, touchpoint_ts timestamp_ntz, source string, channel_key string, unified_user_id string"
 CONV = "conversion_id string, conversion_ts timestamp_ntz, conversion_value_eur double, unified_user_id string"
@@ -251,6 +252,41 @@ def test_time_decay_from_prefix_sums(spark, days):
         assert r.weight == pytest.approx(shares[k]) and r.revenue_time_decay == pytest.approx(value[k[0]] * shares[k])
 
 
+def test_decayed_credit_carries_its_own_counts(spark, monkeypatch):
+    """The exact counts come with the decayed sums, listed or not; the axis is not summed and joined for them again."""
+    touches = [
+        ("a", ORDER - timedelta(days=29), "ga4", "email", "u"),
+        ("b", ORDER - timedelta(days=2), "ga4", "affiliate", "u"),
+        ("c", ORDER - timedelta(hours=1), "ga4", None, "u"),
+        ("late", ORDER + timedelta(hours=1), "ga4", "display", "u"),
+        ("late2", ORDER + timedelta(hours=1), "ga4", "other", "u"),
+    ]
+    t, c = frames(spark, touches, [("o1", ORDER, 30.0, "u"), (None, ORDER, 7.0, "u")])
+    axis = attribution.touch_axis(t, c, 30)
+    monkeypatch.delattr(attribution, "unlisted_counts")
+    monkeypatch.delattr(attribution, "conversion_spans")
+    rows = attribution.time_decay_channels(axis, 30, 7.0).collect()
+    assert sorted((r.conversion_id, r.channel_key or "") for r in rows) == [("o1", ""), ("o1", "affiliate"), ("o1", "email")]
+    assert sum(r.weight for r in rows) == pytest.approx(1)
+
+
+def test_facts_read_stored_orders_with_their_buyers(spark):
+    """Orders are ranked and meet their buyers once for conversions and facts, not once for each."""
+    w = Warehouse(spark, {})
+    w._stored["buyer_orders"] = spark.createDataFrame(
+        [("o1", ORDER, "BE", 30.0, "u"), ("o2", ORDER, "BE", 7.0, None)],
+        "order_id string, order_ts timestamp_ntz, country string, total_price_eur double, unified_user_id string",
+    )
+    w._stored["conversion_channels"] = spark.createDataFrame(
+        [("o1", "u", 30.0, 1, "email", 1, True, True)],
+        "conversion_id string, unified_user_id string, conversion_value_eur double, n_touches long, channel_key string, "
+        "touches long, has_first boolean, has_last boolean",
+    )
+    assert [(r.conversion_id, r.unified_user_id) for r in w.build("conversions").collect()] == [("o1", "u")]
+    facts = {r.conversion_id: (r.channel_key, r.revenue_linear) for r in w.build("fct_conversions").collect()}
+    assert facts == {"o1": ("email", 30.0), "o2": (None, None)}
+
+
 def test_orders_without_touches_stay_with_no_channel(spark):
     touches = [
         ("a", ORDER - timedelta(days=2), "ga4", "email", "u"),

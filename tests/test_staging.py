@@ -111,3 +111,28 @@ def test_orders_are_shuffled_with_the_hash_as_bytes(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("Window") :]
     assert "unhex" in below
+
+
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_orders_delivered_once_go_round_the_sort(spark, monkeypatch, few):
+    """With the repeated ids known only their rows are ranked, and the result stays the same."""
+    monkeypatch.setattr(staging, "FEW_REPEATED", few)
+
+    def delivered(rows):
+        return spark.createDataFrame(
+            [(o, k, "a@b", "2024-03-01 10:00:00", p, "EUR", "paid", "f", "BE", c) for o, k, p, c in rows],
+            "order_id string, customer_id long, email string, created_at string, total_price_eur double, currency string, "
+            "financial_status string, fulfillment_status string, country string, consent_status string",
+        )
+
+    once = [("o1", 1, 1.0, "granted"), ("o2", None, 2.0, "granted"), (None, 3, 3.0, "granted"), (None, 3, 3.0, "granted")]
+    again = [("o1", 4, 5.0, "granted"), ("o1", 4, 0.5, "anonymous"), ("o2", 9, 9.0, "withdrawn")]
+    for rows, repeated in ((once, 0), (once + again, 1)):
+        bronze = delivered(rows)
+        known = staging.repeated_orders(bronze).localCheckpoint()
+        assert known.count() == repeated
+        got, want = staging.orders(bronze, known), staging.orders(bronze)
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Window" in plan) == (repeated > 0)

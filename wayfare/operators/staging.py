@@ -11,6 +11,9 @@ from wayfare.functions.keys import email_hash
 from wayfare.functions.timeutil import from_epoch_seconds
 from wayfare.params import CHANNEL_RULES, DEFAULT_CHANNEL, WITHDRAWN
 
+# Repeated order ids up to which their rows are parted from all others: a few megabytes of hashes.
+FEW_REPEATED = 500_000
+
 
 def consented(df: DataFrame) -> DataFrame:
     """Drop withdrawn rows; a missing consent counts as withdrawn."""
@@ -86,13 +89,26 @@ def email_events(bronze: DataFrame) -> DataFrame:
     )
 
 
-def orders(bronze: DataFrame) -> DataFrame:
+def _order_key() -> Column:
+    return F.when(F.col("order_id").isNotNull(), F.xxhash64("order_id"))
+
+
+def repeated_orders(bronze: DataFrame) -> DataFrame:
+    """`(order_key)`: hashes of the order ids with several consented deliveries; ids that share one are among them."""
+    keys = consented(bronze).where(F.col("order_id").isNotNull()).select(_order_key().alias("order_key"))
+    return keys.groupBy("order_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("order_key")
+
+
+def orders(bronze: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """The latest consented delivery per order, as for customers.
 
     Shops deliver the same order again on later days, often corrected. The
     delivery day `dt` decides where the table has one; the trailing sort keys
     make the choice total. Orders without an id are all kept. The e-mail's hash
     is shuffled as 32 bytes, which sort like its 64 hexadecimal digits.
+
+    Given the stored `repeated_orders`, all other rows are the latest as they
+    are and go round the sort, as long as up to `FEW_REPEATED` ids are repeated.
     """
     delivered = F.col("dt") if "dt" in bronze.columns else F.lit(None).cast("date")
     rows = consented(bronze).select(
@@ -117,13 +133,21 @@ def orders(bronze: DataFrame) -> DataFrame:
             ]
         ]
     )
-    latest = (
-        rows.where(F.col("order_id").isNotNull())
-        .withColumn("_rn", F.row_number().over(newest))
-        .where(F.col("_rn") == 1)
-        .drop("_rn")
-    )
-    kept = latest.unionByName(rows.where(F.col("order_id").isNull())).drop("_delivered")
+
+    def latest(some: DataFrame) -> DataFrame:
+        return some.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") == 1).drop("_rn")
+
+    named, nameless = rows.where(F.col("order_id").isNotNull()), rows.where(F.col("order_id").isNull())
+    times = None if repeated is None else repeated.count()
+    if times == 0:
+        kept = rows
+    elif times is None or times > FEW_REPEATED:
+        kept = latest(named).unionByName(nameless)
+    else:
+        several = _order_key() == F.col("order_key")
+        once = rows.join(repeated, several, "left_anti")
+        kept = latest(named.join(repeated, several, "left_semi")).unionByName(once)
+    kept = kept.drop("_delivered")
     return kept.withColumn("email_hash", F.lower(F.hex("email_hash")))
 
 

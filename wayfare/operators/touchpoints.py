@@ -49,9 +49,16 @@ def all_touches(
     return united.join(ids, "raw_id").drop("raw_id")
 
 
-def conversions(orders: DataFrame, graph: DataFrame) -> DataFrame:
+def buyer_orders(orders: DataFrame, graph: DataFrame) -> DataFrame:
+    """What the facts ask of an order, and its buyer, NULL where nobody is known."""
+    return with_buyer(orders, graph, "left").select(
+        "order_id", "order_ts", "country", "total_price_eur", "unified_user_id"
+    )
+
+
+def conversions(orders_with_buyer: DataFrame) -> DataFrame:
     """Orders of known people."""
-    return with_buyer(orders, graph, "inner").select(
+    return orders_with_buyer.where(F.col("unified_user_id").isNotNull()).select(
         F.col("order_id").alias("conversion_id"),
         F.col("order_ts").alias("conversion_ts"),
         F.col("total_price_eur").alias("conversion_value_eur"),

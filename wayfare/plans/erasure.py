@@ -20,7 +20,9 @@ from wayfare.sources.published import drop_replaced, publish, publish_without, r
 
 PERSONAL = ["fct_touchpoints", "fct_sessions", "fct_conversions", "dim_users"]
 # Stored on the way to the marts, with a person in every row.
-STORED = ["identity_graph", "all_touches", "conversions", "touch_axis", "conversion_channels", "session_summary"]
+STORED = [
+    "identity_graph", "all_touches", "buyer_orders", "conversions", "touch_axis", "conversion_channels", "session_summary",
+]
 
 
 def _version(root: str, number: int) -> str:

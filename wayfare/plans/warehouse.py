@@ -2,7 +2,7 @@
 
 `build(name)` is the lazy plan of a model over bronze and the stored tables;
 `table(name)` is the same model written once under this warehouse's folder and
-read back. Edges, graph, touches, conversions, the touch axis, the channels of a
+read back. Edges, graph, touches, orders with their buyers, the touch axis, the channels of a
 conversion and the session summary are taken from storage, since several models read each of them;
 everything else is inlined, and Catalyst prunes what a query does not use.
 """
@@ -33,9 +33,10 @@ MARTS = [
 
 # Each line reads only tables of the lines above it.
 BUILD_ORDER = [
-    ["identity_edges", "dim_channels", "dim_dates"],
+    ["repeated_orders", "dim_channels", "dim_dates"],
+    ["identity_edges"],
     ["identity_graph"],
-    ["all_touches", "conversions", "session_summary", "dim_users"],
+    ["all_touches", "buyer_orders", "session_summary", "dim_users"],
     ["touch_axis", "fct_touchpoints", "fct_sessions", "fct_funnel_steps"],
     ["conversion_channels"],
     ["fct_conversions"],
@@ -108,7 +109,8 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "stg_ga4_events": lambda w: staging.web_events(w.bronze["ga4_events"]),
     "stg_meta_pixel_events": lambda w: staging.pixel_events(w.bronze["meta_pixel_events"]),
     "stg_email_events": lambda w: staging.email_events(w.bronze["email_events"]),
-    "stg_shopify_orders": lambda w: staging.orders(w.bronze["shopify_orders"]),
+    "repeated_orders": lambda w: staging.repeated_orders(w.bronze["shopify_orders"]),
+    "stg_shopify_orders": lambda w: staging.orders(w.bronze["shopify_orders"], w.table("repeated_orders")),
     "stg_shopify_customers": lambda w: staging.customers(w.bronze["shopify_customers"]),
     "identity_edges": lambda w: identity.identity_edges(
         w.build("stg_ga4_events"),
@@ -147,15 +149,16 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.build("stg_email_events"),
         w.table("identity_graph"),
     ),
-    "conversions": lambda w: touchpoints.conversions(
+    "buyer_orders": lambda w: touchpoints.buyer_orders(
         w.build("stg_shopify_orders"), w.table("identity_graph")
     ),
+    "conversions": lambda w: touchpoints.conversions(w.table("buyer_orders")),
     "touchpoints_enriched": lambda w: touchpoints.touchpoints_enriched(
-        w.table("all_touches"), w.table("conversions"), w.params.attribution_window_days
+        w.table("all_touches"), w.build("conversions"), w.params.attribution_window_days
     ),
     "fct_touchpoints": lambda w: touchpoints.touchpoint_facts(w.build("touchpoints_enriched")),
     "touch_axis": lambda w: attribution.touch_axis(
-        w.table("all_touches"), w.table("conversions"), w.params.attribution_window_days
+        w.table("all_touches"), w.build("conversions"), w.params.attribution_window_days
     ),
     "attribution_ranked": lambda w: attribution.attribution_ranked(
         w.table("touch_axis"), w.params.attribution_window_days
@@ -165,7 +168,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "attribution_time_decay": lambda w: attribution.time_decay(
         w.table("all_touches"),
-        w.table("conversions"),
+        w.build("conversions"),
         w.table("touch_axis"),
         w.params.attribution_window_days,
         w.params.half_life_days,
@@ -178,8 +181,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "conversion_channels": lambda w: attribution.conversion_channels(w.table("touch_axis")),
     "attribution_pivot": lambda w: attribution.pivot_channels(w.table("conversion_channels")),
     "fct_conversions": lambda w: attribution.conversion_facts(
-        touchpoints.with_buyer(w.build("stg_shopify_orders"), w.table("identity_graph"), "left"),
-        w.build("attribution_pivot"),
+        w.table("buyer_orders"), w.build("attribution_pivot")
     ),
     "dim_users": lambda w: dimensions.dim_users(
         w.table("identity_graph"), w.build("stg_shopify_customers"), w.params.as_of
@@ -188,7 +190,7 @@ MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.table("identity_graph"), staging.customer_versions(w.bronze["shopify_customers"])
     ),
     "facts_asof_user": lambda w: dimensions.facts_asof_user(
-        w.table("conversions"), w.build("dim_users_scd2")
+        w.build("conversions"), w.build("dim_users_scd2")
     ),
     "dim_channels": lambda w: dimensions.dim_channels(w.spark),
     "dim_dates": lambda w: dimensions.dim_dates(_date_bounds(w)),
