@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from wayfare.operators import quality
+from wayfare.operators import quality, sessions
 from wayfare.operators.quality import Check
 from wayfare.params import ANONYMOUS, GRANTED, MODELS, NODE_SOURCES
 from wayfare.plans.warehouse import Warehouse
@@ -169,9 +169,44 @@ def _source(w: Warehouse, table: str) -> DataFrame:
     return w.build(table) if table.startswith(_VIEWS) else w.table(table)
 
 
+# Tables that other models read: stored for any check.
+_STORED = ("identity_edges", "identity_graph")
+
+# The models that are projections and sums of the session summary.
+_OF_SUMMARY = {
+    "fct_sessions": sessions.session_facts,
+    "funnel_steps": sessions.funnel_steps,
+    "fct_funnel_steps": sessions.channel_funnel,
+}
+
+
+def _once(w: Warehouse, tables: list[str]) -> dict[str, DataFrame]:
+    """`tables` for a check that reads each of them once.
+
+    What is stored is read. Any other table is computed for the few columns that
+    are checked, and not gathered and written with all of them first. The session
+    summary is stored where several of the tables come from it.
+    """
+
+    def fresh(table: str) -> bool:
+        return not w.is_stored(table)
+
+    of_summary = [t for t in tables if t in _OF_SUMMARY and fresh(t)]
+
+    def source(table: str) -> DataFrame:
+        if table.startswith("bronze.") or table in _STORED or not fresh(table):
+            return _source(w, table)
+        if of_summary == [table] and fresh("session_summary"):
+            return _OF_SUMMARY[table](w.build("session_summary"))
+        return w.build(table)
+
+    return {t: source(t) for t in tables}
+
+
 def _row_checks(w: Warehouse, checks: dict[str, list[Check]]) -> DataFrame:
     parts = [
-        quality.run_checks(_source(w, t), t, cs, w.params.as_of) for t, cs in checks.items()
+        quality.run_checks(df, t, checks[t], w.params.as_of)
+        for t, df in _once(w, list(checks)).items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -220,9 +255,10 @@ def check_unique(w: Warehouse) -> DataFrame:
 
 
 def check_unique_combination(w: Warehouse) -> DataFrame:
+    sources = _once(w, [t for t, _ in UNIQUE_COMBINATION])
     return reduce(
         DataFrame.unionByName,
-        [quality.check_unique(_source(w, t), t, cs) for t, cs in UNIQUE_COMBINATION],
+        [quality.check_unique(sources[t], t, cs) for t, cs in UNIQUE_COMBINATION],
     )
 
 

@@ -85,6 +85,9 @@ class Warehouse:
             self._stored[name] = publish(self.build(name), self.root, name)
         return self._stored[name]
 
+    def is_stored(self, name: str) -> bool:
+        return name in self._stored
+
     def share(self, other: Warehouse, *names: str) -> None:
         """Take stored tables that would come out the same from another warehouse."""
         self._stored |= {name: other.table(name) for name in names}
