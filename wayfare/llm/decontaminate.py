@@ -185,7 +185,8 @@ def _scanned(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = list(range(blocks))
-        for held in _held(batches, chunk_bytes):
+        # A single automaton is never changed, so no batch has to wait for others.
+        for held in _held(batches, chunk_bytes if blocks > 1 else 0):
             counts = [[0] * len(batch) for batch in held]
             found = [[[] for _ in range(len(batch))] for batch in held]
             for block in order:
